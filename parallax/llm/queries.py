@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import dictionary_dedup, frequency, history_dedup
+from parallax.llm import dictionary_dedup, frequency, history_dedup, mixing, packing, quality, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,7 +31,35 @@ def p7_distinct_records(spark: SparkSession, folder: str) -> DataFrame:
     return dictionary_dedup.distinct_records(_table(spark, folder, "capture"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p5_found, p7_found, p7_distinct_records)}
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill_containers(tokens.token_sizes(_table(spark, folder, "documents")), _table(spark, folder, "pack_budget"))
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.container_report(p8_containers(spark, folder), _table(spark, folder, "pack_budget"))
+
+
+def _sized(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_sizes(_table(spark, folder, "documents"), keep=("doc_id", "source"))
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.draw(_sized(spark, folder), _table(spark, folder, "mix_target"))[0]
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.draw(_sized(spark, folder), _table(spark, folder, "mix_target"))[1]
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.structural_documents(_table(spark, folder, "documents"))
+
+
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.text_quality(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p5_found, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p10_found, p10_statistics)}
 
 # Greek final sigma and the dotted capital I are lowered as Unicode has it.
 _TERMS = """
