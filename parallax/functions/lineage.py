@@ -35,7 +35,15 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what cut() wrote for tables that nothing reads any more."""
+    for table in tables:
+        drop_path(table.sparkSession, table._written_at)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -24,9 +24,15 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return queries()["story_figures"](spark, folder)
 
 
+def _load() -> None:
+    from parallax.plans import dealt  # noqa: F401
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
