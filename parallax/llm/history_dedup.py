@@ -20,10 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parallax.functions.addresses import address_host, address_number, address_rest, stamp_seconds, with_publisher
-from parallax.functions.lineage import cut, new_path
+from parallax.functions.lineage import cut, new_path, release
 
 REACH = 72 * 3600
 #: Weight of the identity: above any reach in use, 12 days.
@@ -34,33 +33,38 @@ EPOCH = 62_135_596_800
 #: Width of the eras by which the history is partitioned.
 ERA = 10 * 86_400
 
-POINT = T.StructType([T.StructField(n, t) for n, t in (("id", T.LongType()), ("key", T.StringType()), ("t", T.LongType()), ("a", T.LongType()), ("d1", T.LongType()), ("d2", T.LongType()), ("cell", T.LongType()), ("era", T.LongType()))])
+#: What the table holds of an accepted row.
+POINT = "id bigint, key string, t bigint, a bigint, d1 bigint, d2 bigint, era bigint"
+_D1, _D2 = f"t + {R} * a + {R}", f"t + {R} * ({A_MAX} - a) + {R}"
 
 
-def points(df: DataFrame, publishers: DataFrame, id_col: str = "capture_id", url: str = "url", seen: str = "seen_at", reach: int = REACH) -> DataFrame:
-    """The rows as points with their pivot distances; rows without a valid address or instant are no points."""
+def points(df: DataFrame, publishers: DataFrame, id_col: str = "capture_id", url: str = "url", seen: str = "seen_at") -> DataFrame:
+    """(id, key, t): the rows as points; rows without a valid address or instant are no points."""
     base = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url}`").alias("_url"), stamp_seconds(F.col(f"`{seen}`")).alias("_t"))
     base = base.withColumn("_host", address_host(F.col("_url"))).filter("_t is not null and _host is not null")
     base = with_publisher(base, "_host", publishers, "_publisher")
     name = F.coalesce(F.concat(F.lit("#"), address_number(F.col("_url"))), F.concat(F.lit("/"), address_rest(F.col("_url"))))
-    base = base.select("id", F.concat(F.col("_publisher"), name).alias("key"), (F.col("_t") + EPOCH).alias("t"))
-    base = base.withColumn("a", F.pmod(F.xxhash64("key"), F.lit(A_MAX)))
-    base = base.withColumn("d1", F.col("t") + R * F.col("a") + R).withColumn("d2", F.col("t") + R * (A_MAX - F.col("a")) + R)
-    return base.withColumn("cell", F.expr(f"d1 div {reach}")).withColumn("era", F.expr(f"t div {ERA}"))
+    return base.select("id", F.concat(F.col("_publisher"), name).alias("key"), (F.col("_t") + EPOCH).alias("t"))
 
 
-def _near(x: str, y: str, reach: int) -> Column:
+def _placed(rows: DataFrame, reach: int) -> DataFrame:
+    """Add the identity's number and the cell of the first pivot's distance; both follow from key and t."""
+    return rows.withColumn("a", F.pmod(F.xxhash64("key"), F.lit(A_MAX))).withColumn("cell", F.expr(f"({_D1}) div {reach}"))
+
+
+def _near(reach: int) -> Column:
     """Pruning by both pivots, then the true distance."""
-    c = lambda s, n: F.col(f"{s}.{n}")
-    gap = lambda n: F.abs(c(x, n) - c(y, n))
-    true = gap("t") + R * gap("a") + F.when(c(x, "key") != c(y, "key"), R).otherwise(0)
-    return (gap("d1") <= reach) & (gap("d2") <= reach) & (true <= reach)
+    d = lambda s, n: F.expr(n.replace("t ", f"{s}.t ").replace(" a", f" {s}.a").replace("- a", f"- {s}.a"))
+    gap = lambda n: F.abs(d("x", n) - d("y", n))
+    true = F.abs(F.col("x.t") - F.col("y.t")) + R * F.abs(F.col("x.a") - F.col("y.a")) + F.when(F.col("x.key") != F.col("y.key"), R).otherwise(0)
+    return (gap(_D1) <= reach) & (gap(_D2) <= reach) & (true <= reach)
 
 
 def _kept(rows: DataFrame, accepted: DataFrame, reach: int, columns: list[str]) -> DataFrame:
     """The rows near an accepted one, with the smallest id of those as `kept`."""
-    spread = accepted.select("id", "key", "t", "a", "d1", "d2", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
-    pairs = rows.alias("x").join(spread.alias("y"), (F.col("x.cell") == F.col("y.cell")) & _near("x", "y", reach))
+    spread = _placed(accepted.select("id", "key", "t"), reach)
+    spread = spread.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)))
+    pairs = _placed(rows.select("id", "key", "t"), reach).alias("x").join(spread.alias("y"), (F.col("x.cell") == F.col("y.cell")) & _near(reach))
     return pairs.groupBy(*[F.col(f"x.{c}") for c in columns]).agg(F.min("y.id").alias("kept"))
 
 
@@ -79,31 +83,37 @@ class PivotTable:
         return table if eras is None else table.filter(F.col("era").isin(eras))
 
     def append(self, accepted: DataFrame) -> None:
-        accepted.select(*POINT.fieldNames()).repartitionByRange("era", "d1").write.mode("append").partitionBy("era").parquet(self.path)
+        """Add accepted points with their pivot distances, sorted into ranges of them."""
+        rows = _placed(accepted.select("id", "key", "t"), self.reach)
+        rows = rows.select("id", "key", "t", "a", F.expr(_D1).alias("d1"), F.expr(_D2).alias("d2"), F.expr(f"t div {ERA}").alias("era"))
+        rows.repartitionByRange("era", "d1").write.mode("append").partitionBy("era").parquet(self.path)
         self.appended = True
 
     def admit(self, batch: DataFrame) -> DataFrame:
         """Check a batch of points against the history and itself, append what is accepted, return (kept_id, dup_id).
 
         Ids of a batch must be above all accepted ones. A row near several accepted rows is a duplicate of the first.
+        batch is read several times and should be a written table.
         """
-        batch = cut(batch.select(*POINT.fieldNames()), "batch")
-        eras = [r[0] for r in batch.select(F.explode(F.array(F.col("era") - 1, F.col("era"), F.col("era") + 1)).alias("e")).distinct().collect()]  # calendar days: few
-        before = self.read(eras)
+        around_era = F.explode(F.expr(f"sequence(t div {ERA} - 1, t div {ERA} + 1)"))
+        eras = [r[0] for r in batch.select(around_era.alias("e")).distinct().collect()]  # calendar spans: few
         # rows of one article at one instant share their fate
-        first = batch.groupBy("key", "t").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("a", "d1", "d2", "cell", "era")])
+        first = batch.groupBy("key", "t").agg(F.min("id").alias("id"))
         if self.appended:
-            open_ = first.join(_kept(first, before, self.reach, ["id"]).select("id"), "id", "left_anti")
+            first = cut(first, "first")
+            open_ = cut(first.join(_kept(first, self.read(eras), self.reach, ["id"]).select("id"), "id", "left_anti"), "open")
+            release(first)
         else:
-            open_ = first
-        open_ = cut(open_.select(*POINT.fieldNames()), "open")
+            open_ = cut(first, "open")
         while not open_.isEmpty():
-            heads = open_.groupBy("key", "cell").agg(F.min(F.struct("id", "t", "a", "d1", "d2", "era")).alias("head"))
+            heads = _placed(open_, self.reach).groupBy("key", "cell").agg(F.min(F.struct("id", "t")).alias("head"))
             around = Window.partitionBy("key").orderBy("cell").rangeBetween(-1, 1)
-            fresh = heads.withColumn("least", F.min("head.id").over(around)).filter("head.id = least").select("key", "cell", "head.*")
-            fresh = cut(fresh.select(*POINT.fieldNames()), "fresh")
+            fresh = cut(heads.withColumn("least", F.min("head.id").over(around)).filter("head.id = least").select("key", "head.*"), "fresh")
             self.append(fresh)
-            open_ = cut(open_.join(_kept(open_, fresh, self.reach, ["id"]).select("id"), "id", "left_anti").select(*POINT.fieldNames()), "open")
+            rest = cut(open_.join(_kept(open_, fresh, self.reach, ["id"]).select("id"), "id", "left_anti"), "open")
+            release(open_, fresh)
+            open_ = rest
+        release(open_)
         near = _kept(batch, self.read(eras), self.reach, ["id"])
         return near.filter("kept < id").select(F.col("kept").alias("kept_id"), F.col("id").alias("dup_id"))
 
@@ -134,7 +144,7 @@ def deduplicate_batches(
     spark = df.sparkSession
     table = PivotTable(spark, reach=reach)
     bounds = batch_bounds(df, id_col, run, batches)
-    all_points = cut(points(df, publishers, id_col, url, seen, reach), "points")
+    all_points = cut(points(df, publishers, id_col, url, seen), "points")
     found = spark.createDataFrame([], "kept_id bigint, dup_id bigint")
     for i in range(len(bounds)):
         part = F.col("id") >= bounds[i] if i else F.lit(True)
