@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import dictionary_dedup, frequency, history_dedup, mixing, packing, quality, tokens
+from parallax.llm import dictionary_dedup, frequency, history_dedup, language_crf, lookalikes, mixing, packing, quality, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,10 +19,32 @@ def p1_term_counts(spark: SparkSession, folder: str) -> DataFrame:
     return frequency.term_frequencies(_table(spark, folder, "capture"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return language_crf.mislabelled(_table(spark, folder, "evidence"), _table(spark, folder, "lang_sample"), _table(spark, folder, "language_code"))
+
+
+def p2_segments(spark: SparkSession, folder: str) -> DataFrame:
+    evidence = _table(spark, folder, "evidence")
+    return language_crf.language_segments(evidence, language_crf.train_on(evidence, _table(spark, folder, "lang_sample"), _table(spark, folder, "language_code")), keep=["language"])
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return history_dedup.deduplicate_batches(_table(spark, folder, "capture"), _table(spark, folder, "publisher"))
 
 
+def _scripts(spark: SparkSession, folder: str) -> lookalikes.Scripts:
+    clean = [_table(spark, folder, "lang_sample").select("title"), _table(spark, folder, "actor_alias").select("alias")]
+    return lookalikes.train_scripts(clean, _table(spark, folder, "evidence").select("title"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.disguised(_table(spark, folder, "evidence"), _scripts(spark, folder))
+
+
+def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.canonical_forms(_table(spark, folder, "evidence"), _scripts(spark, folder))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return dictionary_dedup.copies(_table(spark, folder, "capture"))
 
@@ -59,7 +81,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_quality(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p5_found, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p2_found, p2_segments, p5_found, p6_found, p6_canonical, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p10_found, p10_statistics)}
 
 # Greek final sigma and the dotted capital I are lowered as Unicode has it.
 _TERMS = """
