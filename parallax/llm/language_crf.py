@@ -19,15 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parallax.functions.sampling import bounded_sample
+
 #: Hash buckets of the features; training texts used at most; steps of training; words scored at a stretch.
 BUCKETS = 1 << 15
-TRAINING_TEXTS = 3000
-STEPS = 160
+TRAINING_TEXTS = 2500
+STEPS = 240
 STRETCH = 400
 #: Words (or ideographs) a run needs to make a language of its own: fewer are a name or a borrowed word.
 LEAST_WORDS, LEAST_SIGNS = 4, 6
 #: Mean probability below which a run beside another is no language of its own.
 SURE = 0.7
+#: Share of the likeliest language's probability that a label needs in the first field; probability at which a piece of another one counts.
+DOUBT, FIRM = 0.4, 0.9
 WORD = re.compile("[㐀-鿿豈-﫿]|(?:(?![㐀-鿿豈-﫿])[^\\W\\d_](?:['’]?[̀-ًͯ-ٕ])*)+")
 _IGNORED = re.compile("[­͏؜​-‏‪-‮⁠-⁤︀-️﻿]")
 
@@ -66,30 +70,31 @@ def features(word: str, lexicon: frozenset[str]) -> np.ndarray:
     return np.array(sorted({zlib.crc32(n.encode()) % BUCKETS for n in names}), np.int32)
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
-
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray, expected: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities per word, and the expected moves if asked for. scores: sequences x words x labels.
 
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log posteriors per word, expected moves, and the log partition of each sequence. scores: sequences x words x labels."""
+    Messages are scaled to sum to one at each word. Words past a sequence's length leave them as they are.
+    """
     n, t, k = scores.shape
-    ahead = np.empty_like(scores)
-    back = np.zeros_like(scores)
-    ahead[:, 0] = scores[:, 0] + start
+    emit = np.exp(scores - scores.max(2, keepdims=True)).astype(np.float64) + 1e-200
+    step = np.exp(moves.astype(np.float64))
+    ahead, back = np.empty((n, t, k)), np.ones((n, t, k)) / k
+    ahead[:, 0] = emit[:, 0] * np.exp(start)
+    ahead[:, 0] /= ahead[:, 0].sum(1, keepdims=True)
     for i in range(1, t):
-        ahead[:, i] = np.where((i < lengths)[:, None], _log_sum(ahead[:, i - 1, :, None] + moves, 1) + scores[:, i], ahead[:, i - 1])
-    for i in range(t - 2, -1, -1):
-        step = _log_sum(moves[None] + (scores[:, i + 1] + back[:, i + 1])[:, None, :], 2)
-        back[:, i] = np.where((i + 1 < lengths)[:, None], step, 0)
-    z = _log_sum(ahead[:, -1], 1)
+        x = (ahead[:, i - 1] @ step) * emit[:, i]
+        ahead[:, i] = np.where((i < lengths)[:, None], x / x.sum(1, keepdims=True), ahead[:, i - 1])
     pairs = np.zeros((k, k))
-    for i in range(1, t):
-        on = i < lengths
-        if on.any():
-            x = ahead[on, i - 1, :, None] + moves[None] + (scores[on, i] + back[on, i])[:, None, :] - z[on, None, None]
-            pairs += np.exp(x).sum(0)
-    return ahead + back - z[:, None, None], pairs, z
+    for i in range(t - 2, -1, -1):
+        on = (i + 1 < lengths)[:, None]
+        heard = emit[:, i + 1] * back[:, i + 1]
+        x = heard @ step.T
+        back[:, i] = np.where(on, x / x.sum(1, keepdims=True), back[:, i])
+        if expected:
+            whole = (ahead[:, i] * x).sum(1, keepdims=True)
+            pairs += step * (ahead[:, i].T @ np.where(on, heard / whole, 0))
+    post = ahead * back
+    return post / post.sum(2, keepdims=True), pairs
 
 
 class LanguageField:
@@ -123,9 +128,9 @@ class LanguageField:
             for r, p in enumerate(group):
                 scores[r, : len(parts[p][1])] = [self.emission(w) for w in parts[p][1]]
             lengths = np.array([len(parts[p][1]) for p in group])
-            post, _, _ = forward_backward(scores, lengths, self.moves, self.start)
+            post, _ = forward_backward(scores, lengths, self.moves, self.start)
             for r, p in enumerate(group):
-                done[p] = np.exp(post[r, : lengths[r]])
+                done[p] = post[r, : lengths[r]]
             at += len(group)
         for p, (i, _) in enumerate(parts):
             out[i].append(done[p])
@@ -161,7 +166,7 @@ class LanguageField:
 
 
 def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed: int = 5) -> LanguageField:
-    """Fit the field by Adam on the likelihood of clean texts and of texts joined from two languages."""
+    """Fit the field by adaptive gradients on the likelihood of clean texts and of texts joined from two languages."""
     labels = sorted(set(codes))
     number = {c: i for i, c in enumerate(labels)}
     rng = np.random.default_rng(seed)
@@ -194,60 +199,66 @@ def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed:
         index[r, : len(words)] = [place[w] for w in words]
         gold[r, : len(words)] = marks
     on = np.arange(t)[None] < lengths[:, None]
-    params = [np.zeros((BUCKETS, k)), np.zeros((k, k)), np.zeros(k)]
+    params = [np.zeros((BUCKETS, k), np.float32), np.zeros((k, k), np.float32), np.zeros(k, np.float32)]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     used = np.unique(bucket)
     compact = np.searchsorted(used, bucket)
-    sorter = np.argsort(compact, kind="stable")
-    cuts = np.searchsorted(compact[sorter], np.arange(len(used)))
-    owner_cuts = np.searchsorted(owner, np.arange(len(feats)))
-    weights, ws = np.zeros((len(used), k)), [np.zeros((len(used), k)), np.zeros((len(used), k))]
-    # a step looks at a part of the sequences, each part in turn
-    parts = np.array_split(rng.permutation(n), max(1, n // 280))
-    for step in range(steps):
-        part = parts[step % len(parts)]
+    first_of = np.searchsorted(owner, np.arange(len(feats) + 1))
+    weights, squares = np.zeros((len(used), k), np.float32), np.full((len(used), k), 1e-3, np.float32)
+    # a step looks at a part of the sequences, each part in turn; what a part needs is laid out once
+    parts = []
+    for part in np.array_split(rng.permutation(n), max(1, n // 400)):
         longest = int(lengths[part].max())
-        emission = np.add.reduceat(weights[compact], owner_cuts, 0)
-        scores = emission[index[part, :longest]]
-        post, pairs, _ = forward_backward(scores, lengths[part], params[1], params[2])
         live = on[part, :longest]
-        delta = np.exp(post)
-        delta[np.arange(len(part))[:, None], np.arange(longest)[None], gold[part, :longest]] -= 1
-        delta *= live[:, :, None]
-        per_word = np.zeros((len(feats), k))
-        np.add.at(per_word, index[part, :longest][live], delta[live])
-        grad_w = np.add.reduceat(per_word[owner[sorter]], cuts, 0) + 0.02 * weights
-        own = np.zeros((k, k))
-        inner = live[:, 1:]
-        np.add.at(own, (gold[part, : longest - 1][inner], gold[part, 1:longest][inner]), 1)
-        grad_m = pairs - own + 0.02 * params[1]
-        grad_s = np.exp(post[:, 0]).sum(0) - np.bincount(gold[part, 0], minlength=k) + 0.02 * params[2]
-        for value, grad, (m, v) in ((weights, grad_w, ws), (params[1], grad_m, state[1]), (params[2], grad_s, state[2])):
+        own_words, places = np.unique(index[part, :longest], return_inverse=True)
+        rows_of = np.concatenate([np.arange(first_of[w], first_of[w + 1]) for w in own_words])
+        sizes = first_of[own_words + 1] - first_of[own_words]
+        touched, local = np.unique(compact[rows_of], return_inverse=True)
+        order = np.argsort(local, kind="stable")
+        marks = gold[part, :longest]
+        moved = np.zeros((k, k))
+        np.add.at(moved, (marks[:, :-1][live[:, 1:]], marks[:, 1:][live[:, 1:]]), 1)
+        parts.append((part, live, marks, places.reshape(live.shape), touched, local, np.cumsum(sizes) - sizes, np.repeat(np.arange(len(own_words)), sizes)[order], np.searchsorted(local[order], np.arange(len(touched))), len(own_words), moved))
+    for step in range(steps):
+        part, live, marks, places, touched, local, starts, owners, cuts, count, moved = parts[step % len(parts)]
+        own_weights = weights[touched]
+        scores = np.add.reduceat(own_weights[local], starts, 0)[places]
+        post, pairs = forward_backward(scores, lengths[part], params[1], params[2], expected=True)
+        delta = post.copy()
+        np.put_along_axis(delta, marks[:, :, None], np.take_along_axis(delta, marks[:, :, None], 2) - 1, 2)
+        per_word = np.zeros((count, k))
+        np.add.at(per_word, places[live], delta[live])
+        grad = (np.add.reduceat(per_word[owners], cuts, 0) + 0.01 * own_weights).astype(np.float32)
+        squares[touched] += grad * grad
+        weights[touched] = own_weights - 0.25 * grad / np.sqrt(squares[touched])
+        grad_m = pairs - moved + 0.02 * params[1]
+        grad_s = post[:, 0].sum(0) - np.bincount(marks[:, 0], minlength=k) + 0.02 * params[2]
+        for value, g, (m, v) in ((params[1], grad_m, state[1]), (params[2], grad_s, state[2])):
             m *= 0.9
-            m += 0.1 * grad
+            m += 0.1 * g
             v *= 0.99
-            v += 0.01 * grad * grad
-            value -= 0.08 * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.99 ** (step + 1))) + 1e-6)
+            v += 0.01 * g * g
+            value -= 0.05 * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.99 ** (step + 1))) + 1e-6)
     params[0][used] = weights
     return LanguageField(labels, params[0].astype(np.float32), params[1], params[2], lexicon)
 
 
 def _sample(df: DataFrame, text: str, code: str, limit: int) -> tuple[list[str], list[str]]:
     rows = df.select(F.col(f"`{text}`").alias("t"), F.col(f"`{code}`").alias("c")).filter("t is not null and c is not null")
-    rows = rows.orderBy(F.xxhash64("t"), "t", "c").limit(limit).collect()
+    rows = bounded_sample(rows, "t", limit).collect()
     return [r["t"] for r in rows], [r["c"] for r in rows]
 
 
 def train_from(samples: DataFrame, labelled: DataFrame | None = None, limit: int = TRAINING_TEXTS) -> LanguageField:
     """Train on clean samples (title, code), then on labelled texts (text, code) too, at most `limit` of each.
 
-    The second training takes those labelled texts only that the first field finds to be in the language of their label
-    and no other: their labels may be wrong. Texts are chosen by a hash of the text.
+    The second training takes those labelled texts only that the first field doesn't firmly find to be in another
+    language than their label's, or in several: labels may be wrong. Texts are chosen by a hash of the text.
     """
     texts, codes = _sample(samples, "title", "code", limit)
-    field = train(texts, codes)
     if labelled is None:
-        return field
+        return train(texts, codes)
+    field = train(texts, codes, STEPS // 2)
     extra, marks = _sample(labelled, "text", "code", limit)
     clean = [plain(x) for x in extra]
     spans = [words_of(x) for x in clean]
@@ -255,9 +266,11 @@ def train_from(samples: DataFrame, labelled: DataFrame | None = None, limit: int
     for raw, x, s, p, mark in zip(extra, clean, spans, posts, marks):
         if mark not in field.codes or not len(p):
             continue
-        pieces = field.segments(x, s, p)
+        # the label holds unless the first field is sure of another language for some piece
         k = field.codes.index(mark)
-        if len(pieces) == 1 and p.sum(0).argmax() == k and p[:, k].mean() > 0.25:
+        top = int(p.sum(0).argmax())
+        other = any(c != mark and sure > FIRM for _, _, c, sure in field.segments(x, s, p))
+        if not other and p[:, k].mean() >= DOUBT * p[:, top].mean():
             texts.append(raw)
             codes.append(mark)
     return train(texts, codes)
@@ -312,14 +325,15 @@ def train_on(df: DataFrame, samples: DataFrame, codes: DataFrame, text: str = "t
     return train_from(samples, own.join(F.broadcast(label_codes(codes)), F.col("_label") == F.col("label")).select("text", F.col("label_code").alias("code")))
 
 
-def mislabelled(df: DataFrame, samples: DataFrame, codes: DataFrame, id_col: str = "evidence_id", text: str = "title", label: str = "language") -> DataFrame:
+def mislabelled(df: DataFrame, samples: DataFrame, codes: DataFrame, trusted: DataFrame | None = None, id_col: str = "evidence_id", text: str = "title", label: str = "language") -> DataFrame:
     """(id_col, code): rows whose label is missing or unknown, names a language their text isn't in, or whose text is in several.
 
-    One row for each language of the text. codes is a short dimension. A repeated id is taken as one document.
+    One row for each language of the text. codes is a short dimension. trusted holds texts and labels (in the same two
+    columns) that are right more often than those of df, which serve where it is None. A repeated id is one document.
     """
     known = F.broadcast(label_codes(codes))
     own = df.withColumn("_label", F.lower(F.trim(F.col(f"`{label}`"))))
-    field = train_on(df, samples, codes, text, label)
+    field = train_on(df if trusted is None else trusted, samples, codes, text, label)
     rows = language_segments(own, field, id_col, text, ["_label"]).join(known, F.col("_label") == F.col("label"), "left")
     per = rows.groupBy(id_col).agg(F.collect_set("code").alias("codes"), F.max("label_code").alias("label_code"))  # as many as there are languages, at most
     wrong = F.col("label_code").isNull() | (F.size("codes") > 1) | ~F.array_contains("codes", F.col("label_code"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parallax.functions.lineage import cut
+from parallax.functions.sampling import bounded_sample
 from parallax.llm.quality_holdout import HOLDOUT
 
 #: Documents that the trees are trained on, at most; the sample is the same in every run.
@@ -261,7 +262,7 @@ def text_quality(df: DataFrame, id_col: str = "doc_id", text: str = "text", samp
     With few documents the hand-checked texts join the training. Empty tables give an empty result.
     """
     stats = cut(text_statistics(df, id_col, text), "statistics")
-    drawn = stats.orderBy(F.xxhash64(id_col), *STATISTICS).limit(sample).select(*STATISTICS).toPandas()
+    drawn = bounded_sample(stats, id_col, sample).select(*STATISTICS).toPandas()
     model, a, b = train(drawn.to_numpy(np.float64).reshape(-1, len(STATISTICS)))
 
     @F.pandas_udf("double")

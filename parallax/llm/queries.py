@@ -20,12 +20,13 @@ def p1_term_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return language_crf.mislabelled(_table(spark, folder, "evidence"), _table(spark, folder, "lang_sample"), _table(spark, folder, "language_code"))
+    t = {c: _table(spark, folder, c) for c in ("evidence", "lang_sample", "language_code", "capture")}
+    return language_crf.mislabelled(t["evidence"], t["lang_sample"], t["language_code"], t["capture"])
 
 
 def p2_segments(spark: SparkSession, folder: str) -> DataFrame:
-    evidence = _table(spark, folder, "evidence")
-    return language_crf.language_segments(evidence, language_crf.train_on(evidence, _table(spark, folder, "lang_sample"), _table(spark, folder, "language_code")), keep=["language"])
+    t = {c: _table(spark, folder, c) for c in ("evidence", "lang_sample", "language_code", "capture")}
+    return language_crf.language_segments(t["evidence"], language_crf.train_on(t["capture"], t["lang_sample"], t["language_code"]), keep=["language"])
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
