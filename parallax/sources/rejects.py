@@ -2,8 +2,8 @@
 
 Each batch of lines becomes scratch files of its task, which DuckDB reads as CSV with a reject table per file: one of the
 lines in which some field begins with a quote, one of the others. A quote that never closes swallows lines after its own;
-those are neither parsed nor rejected and are read again without it. The line-level errors are joined to the raw lines,
-and the typed values of the lines that parse are checked in the same query.
+those are read again without it, and lines whose quotes are at fault in a file of their own. The line-level errors are
+joined to the raw lines, and the typed values of the lines that parse are checked in the same query.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ WIDTH = 27
 #: Field numbers of the feed that are kept.
 FIELDS = {"url": 4, "locations": 9, "persons": 11, "organisations": 13, "names": 23}
 #: Characters that a line may hold and a CSV line may not, and what stands for them meanwhile.
-HELD = {"\n": "", "\r": "", "\0": ""}
+HELD = {"\n": "\ue00a", "\r": "\ue00d", "\0": "\ue000"}
 QUOTED = re.compile(r'(?:^|\t)"')
 #: Lines of a batch.
 BATCH = 5000
@@ -41,7 +41,7 @@ SELECT w.n, CASE WHEN e.quote THEN 'quote' WHEN e.n IS NOT NULL THEN 'width'
       OR len(list_filter(string_split(p.names, ';'), lambda x: x <> '' AND NOT regexp_full_match(x, '(?s){NAME}'))) > 0 THEN 'value' END AS reason,
   p.url, p.locations, p.persons, p.organisations, p.names
 FROM wanted w
-LEFT JOIN (SELECT TRY_CAST(n AS BIGINT) AS n, {", ".join(f"coalesce(f{i}, '') AS {c}" for c, i in FIELDS.items())} FROM parsed) p ON w.n = p.n
+LEFT JOIN (SELECT TRY_CAST(n AS BIGINT) AS n, {", ".join(f"coalesce(f{i}, '') AS {c}" for c, i in FIELDS.items())} FROM parsed WHERE last = '.') p ON w.n = p.n
 LEFT JOIN (SELECT n, bool_or(quote) AS quote FROM errors GROUP BY n) e ON w.n = e.n
 WHERE p.n IS NOT NULL OR e.n IS NOT NULL
 """
@@ -60,10 +60,11 @@ def _read(connection, folder: str, lines: list[str], at: list[int]) -> pa.Table:
         f"CREATE OR REPLACE TEMP TABLE parsed AS SELECT * FROM read_csv('{path}', delim='\t', quote='\"', escape='\"', header=false, auto_detect=false, "
         f"strict_mode=true, null_padding=false, new_line='\\n', comment='', store_rejects=true, rejects_limit=0, max_line_size={room}, buffer_size={4 * room}, columns={{{columns}}})"
     )
-    # a line break inside a record means that its own line left a quote open
+    # a line break inside a record means that its own line left a quote open; some errors don't say which line they are of
+    number = "TRY_CAST(split_part(csv_line, '\t', 1) AS BIGINT)" if len(at) > 1 else str(at[0])
     every = ", ".join(f"f{i}" for i in range(WIDTH))
     connection.execute(
-        "CREATE OR REPLACE TEMP TABLE errors AS SELECT TRY_CAST(split_part(csv_line, '\t', 1) AS BIGINT) AS n, error_type = 'UNQUOTED VALUE' OR contains(rtrim(csv_line, chr(10)), chr(10)) AS quote "
+        f"CREATE OR REPLACE TEMP TABLE errors AS SELECT {number} AS n, error_type = 'UNQUOTED VALUE' OR contains(rtrim(csv_line, chr(10)), chr(10)) AS quote "
         f"FROM reject_errors UNION ALL SELECT TRY_CAST(n AS BIGINT), true FROM parsed WHERE contains(concat_ws(' ', {every}), chr(10))"
     )
     connection.register("wanted", pa.table({"n": pa.array(at, pa.int64())}))
@@ -73,17 +74,28 @@ def _read(connection, folder: str, lines: list[str], at: list[int]) -> pa.Table:
     return found
 
 
-def _read_all(connection, folder: str, known: list[str], at: list[int]) -> list[pa.Table]:
-    """_read, again for the lines that an open quote swallowed."""
-    parts = []
+def _read_all(connection, folder: str, known: list[str], at: list[int], quoted: bool) -> list[pa.Table]:
+    """_read of all lines; of those with quotes, lines that don't parse are read alone.
+
+    Beside an open quote an error may be told of the wrong line. So in a file of lines with quotes only the lines that
+    parse are taken, those with errors are read alone, and the rest again while that helps.
+    """
+    parts, alone = [], []
     while at:
         found = _read(connection, folder, [known[i] for i in at], at)
-        if not found.num_rows:  # can't be: the first line is swallowed by none
-            raise RuntimeError("lines were neither parsed nor rejected")
+        done = found.column("n").to_pylist()
+        if quoted:
+            bad = {i for i, r in zip(done, found.column("reason").to_pylist()) if r in ("quote", "width")}
+            found = found.filter(pa.array([i not in bad for i in done], pa.bool_()))
+            alone += sorted(bad)
+            done = [i for i in done if i not in bad]
         parts.append(found)
-        seen = set(found.column("n").to_pylist())
-        at = [i for i in at if i not in seen]
-    return parts
+        over = {*done, *alone}
+        at = [i for i in at if i not in over]
+        if not done:
+            alone += at
+            break
+    return parts + [_read(connection, folder, [known[i]], [i]) for i in alone]
 
 
 def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +113,7 @@ def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known = [x.replace(a, b) if a in x else x for x in known]
                 plain = [i for i, x in enumerate(known) if not QUOTED.search(x)]
                 quoted = [i for i, x in enumerate(known) if QUOTED.search(x)]
-                parts = _read_all(connection, folder, known, plain) + _read_all(connection, folder, known, quoted)
+                parts = _read_all(connection, folder, known, plain, False) + _read_all(connection, folder, known, quoted, True)
                 found = pa.concat_tables(parts).sort_by("n")
                 columns = [batch.column(i) for i in range(batch.num_columns)]
                 for c in ("reason", *FIELDS):
