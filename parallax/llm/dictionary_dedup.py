@@ -21,9 +21,12 @@ HEAVY_PARTS = 1000
 
 
 def canonical(c: Column) -> Column:
-    """Letters and digits only, in order, without case: lower(upper(x)) folds sharp s and final sigma alike."""
+    """Letters and digits only, in order, without case: upper then lower folds sharp s, final sigma and dotless i alike.
+
+    The replacement in between also keeps the optimiser from dropping the inner conversion.
+    """
     bare = F.regexp_replace(c, r"[^\p{L}\p{N}]+", "")
-    return F.regexp_replace(F.lower(F.upper(bare)), r"[^\p{L}\p{N}]+", "")
+    return F.regexp_replace(F.lower(F.translate(F.upper(bare), "İ", "I")), r"[^\p{L}\p{N}]+", "")
 
 
 def encode_records(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:

@@ -101,7 +101,7 @@ WITH runs AS (
   SELECT *, CASE WHEN n_rows < 3 THEN 'rare' WHEN n_rows > 0.05 * (SELECT count(*) FROM capture) THEN 'common' END AS mark FROM counts
 )
 """
-_CANON = "regexp_replace(lower(upper(replace(regexp_replace({c}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), 'ß', 'ss'))), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_CANON = "regexp_replace(lower(replace(upper(replace(regexp_replace({c}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), 'ß', 'ss')), 'İ', 'I')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _COPIES = f"""
 WITH canon AS (
   SELECT capture_id, replace({_CANON.format(c='title')}, 'ς', 'σ') AS t, replace({_CANON.format(c='domain')}, 'ς', 'σ') AS d FROM capture
