@@ -25,6 +25,8 @@ from parallax.functions.sampling import bounded_sample
 BUCKETS = 1 << 15
 TRAINING_TEXTS = 2500
 STEPS = 240
+#: Words of a training sequence.
+TRAINING_STRETCH = 60
 STRETCH = 400
 #: Words (or ideographs) a run needs to make a language of its own: fewer are a name or a borrowed word.
 LEAST_WORDS, LEAST_SIGNS = 4, 6
@@ -32,8 +34,8 @@ LEAST_WORDS, LEAST_SIGNS = 4, 6
 SURE = 0.7
 #: Share of the likeliest language's probability that a label needs in the first field; probability at which a piece of another one counts.
 DOUBT, FIRM = 0.4, 0.9
-WORD = re.compile("[㐀-鿿豈-﫿]|(?:(?![㐀-鿿豈-﫿])[^\\W\\d_](?:['’]?[̀-ًͯ-ٕ])*)+")
-_IGNORED = re.compile("[­͏؜​-‏‪-‮⁠-⁤︀-️﻿]")
+WORD = re.compile("[\u3400-\u9fff\uf900-\ufaff]|(?:(?![\u3400-\u9fff\uf900-\ufaff])[^\\W\\d_][\u0300-\u036f\u064b-\u0655]*)+")
+_IGNORED = re.compile("[\u00ad\u034f\u061c\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 
 
 def plain(text: str) -> str:
@@ -174,8 +176,11 @@ def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed:
     for text, code in zip(texts, codes):
         clean = plain(text)
         words = [clean[a:b] for a, b in words_of(clean)]
-        if words:
-            rows.append((words, [number[code]] * len(words)))
+        for at in range(0, len(words), TRAINING_STRETCH):  # long texts make several sequences
+            part = words[at : at + TRAINING_STRETCH]
+            rows.append((part, [number[code]] * len(part)))
+    if len(rows) > 4 * TRAINING_TEXTS:
+        rows = [rows[i] for i in sorted(rng.choice(len(rows), 4 * TRAINING_TEXTS, replace=False))]
     counts: dict[str, int] = {}
     for words, _ in rows:
         for w in {x.lower() for x in words}:
@@ -314,15 +319,15 @@ def language_segments(df: DataFrame, field: LanguageField, id_col: str = "eviden
 
 
 def label_codes(codes: DataFrame) -> DataFrame:
-    """(label, label_code): every way to write a language in the table of languages, lower-case."""
+    """(_known, _label_code): every way to write a language in the table of languages, lower-case."""
     ways = F.explode(F.array("gdelt_name", "code", "code3")).alias("label")
-    return codes.select(ways, F.col("code").alias("label_code")).filter("label is not null").select(F.lower(F.trim("label")).alias("label"), "label_code").distinct()
+    return codes.select(ways, F.col("code").alias("_label_code")).filter("label is not null").select(F.lower(F.trim("label")).alias("_known"), "_label_code").distinct()
 
 
 def train_on(df: DataFrame, samples: DataFrame, codes: DataFrame, text: str = "title", label: str = "language") -> LanguageField:
     """train_from on clean samples and on the texts of df whose label is known."""
     own = df.select(F.lower(F.trim(F.col(f"`{label}`"))).alias("_label"), F.col(f"`{text}`").alias("text"))
-    return train_from(samples, own.join(F.broadcast(label_codes(codes)), F.col("_label") == F.col("label")).select("text", F.col("label_code").alias("code")))
+    return train_from(samples, own.join(F.broadcast(label_codes(codes)), F.col("_label") == F.col("_known")).select("text", F.col("_label_code").alias("code")))
 
 
 def mislabelled(df: DataFrame, samples: DataFrame, codes: DataFrame, trusted: DataFrame | None = None, id_col: str = "evidence_id", text: str = "title", label: str = "language") -> DataFrame:
@@ -334,7 +339,7 @@ def mislabelled(df: DataFrame, samples: DataFrame, codes: DataFrame, trusted: Da
     known = F.broadcast(label_codes(codes))
     own = df.withColumn("_label", F.lower(F.trim(F.col(f"`{label}`"))))
     field = train_on(df if trusted is None else trusted, samples, codes, text, label)
-    rows = language_segments(own, field, id_col, text, ["_label"]).join(known, F.col("_label") == F.col("label"), "left")
-    per = rows.groupBy(id_col).agg(F.collect_set("code").alias("codes"), F.max("label_code").alias("label_code"))  # as many as there are languages, at most
+    rows = language_segments(own, field, id_col, text, ["_label"]).join(known, F.col("_label") == F.col("_known"), "left")
+    per = rows.groupBy(id_col).agg(F.collect_set("code").alias("codes"), F.max("_label_code").alias("label_code"))  # as many as there are languages, at most
     wrong = F.col("label_code").isNull() | (F.size("codes") > 1) | ~F.array_contains("codes", F.col("label_code"))
     return per.filter(wrong).select(id_col, F.explode("codes").alias("code"))

@@ -238,7 +238,7 @@ def train(x: np.ndarray) -> tuple[BoostedTrees, float, float]:
     y = weak_label(x)
     held, truth = holdout_statistics()
     known = y >= 0
-    if known.sum() < 50 or len(set(y[known])) < 2:  # too few documents: the hand-checked texts have to do
+    if known.sum() < 200 or len(set(y[known])) < 2:  # too few documents: the hand-checked texts have to do
         x, y, known = np.concatenate([x, *[held] * 4]), np.concatenate([y, *[truth] * 4]), np.concatenate([known, np.ones(4 * len(truth), bool)])
     model = BoostedTrees().fit(x[known], y[known].astype(float))
     score = model.score(held)
@@ -273,5 +273,5 @@ def text_quality(df: DataFrame, id_col: str = "doc_id", text: str = "text", samp
 
 
 def structural_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id) of the documents that are for their larger part no running prose."""
-    return text_quality(df, id_col, text).filter("junk_probability > 0.5").select(id_col)
+    """(doc_id) of the documents that are for their larger part no running prose; an empty text is none of either."""
+    return text_quality(df, id_col, text).filter("junk_probability > 0.5 and n_chars > 0").select(id_col)
