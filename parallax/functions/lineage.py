@@ -62,6 +62,15 @@ def _sweep() -> None:
             return
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many tasks as there are cores, for work that is heavy per row.
+
+    Only an input of fewer splits than cores, which is a small one, is dealt out anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def heavy_light_lookup(
     rows: DataFrame, dim: DataFrame, keys: list[str], weight: str, heavy_above: Column | int, keep: list[str], how: str = "inner"
 ) -> DataFrame:

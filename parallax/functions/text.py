@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 ALIAS_FLOOR = {"latin": 4, "cyrillic": 4, "greek": 4, "arabic": 3, "cjk": 2, "other": 3}
 #: Scripts whose words are matched as raw lower-case substrings.
 RAW_SCRIPTS = ("arabic", "cjk")
+# The blocks that count as each script, for letters only.
 _SCRIPTS = {
-    "cyrillic": r"[\p{L}&&[\x{0400}-\x{04FF}]]",
-    "greek": r"[\p{L}&&[\x{0370}-\x{03FF}]]",
-    "arabic": r"[\p{L}&&[\x{0600}-\x{06FF}]]",
-    "cjk": r"[\p{L}&&[\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]]",
-    "latin": r"[\p{L}&&[\x{0000}-\x{024F}]]",
-    "other": r"[\p{L}&&[^\x{0000}-\x{024F}\x{0370}-\x{04FF}\x{0600}-\x{06FF}\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]]",
+    "cyrillic": r"[\x{0400}-\x{04FF}]+",
+    "greek": r"[\x{0370}-\x{03FF}]+",
+    "arabic": r"[\x{0600}-\x{06FF}]+",
+    "cjk": r"[\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]+",
+    "latin": r"[\x{0000}-\x{024F}]+",
+    "other": r"[^\x{0000}-\x{024F}\x{0370}-\x{04FF}\x{0600}-\x{06FF}\x{3040}-\x{9FFF}\x{AC00}-\x{D7AF}]+",
 }
 
 
@@ -63,10 +64,21 @@ def fold(c: Column) -> Column:
 
 
 def script_of(c: Column) -> Column:
-    """The script of most letters; of equals the one seen first; 'other' without letters."""
-    seen = [F.struct(F.regexp_count(c, F.lit(p)).alias("n"), (-F.regexp_instr(c, F.lit(p))).alias("at"), F.lit(name).alias("name")) for name, p in _SCRIPTS.items()]
-    best = F.array_max(F.array(*seen))
-    return F.when(best["n"] > 0, best["name"]).otherwise("other")
+    """The script of most letters; of equals the one seen first; 'other' without letters.
+
+    Text without characters past the Latin blocks is told at once; of others the letters are taken out once.
+    """
+
+    def count(letters: Column) -> Column:
+        seen = []
+        for name, p in _SCRIPTS.items():
+            n = F.length(letters) - F.length(F.regexp_replace(letters, p, ""))
+            seen.append(F.struct(n.alias("n"), (-F.regexp_instr(letters, F.lit(p))).alias("at"), F.lit(name).alias("name")))
+        best = F.array_max(F.array(*seen))
+        return F.when(best["n"] > 0, best["name"]).otherwise("other")
+
+    mixed = F.element_at(F.transform(F.array(F.regexp_replace(c, r"\P{L}+", "")), count), 1)
+    return F.when(~c.rlike(r"[^\x{0000}-\x{024F}]"), F.when(c.rlike(r"\p{L}"), "latin").otherwise("other")).otherwise(mixed)
 
 
 def usable_alias(alias: Column) -> Column:

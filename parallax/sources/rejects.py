@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parallax.functions.lineage import spread
+
 WIDTH = 27
 #: Field numbers of the feed that are kept.
 FIELDS = {"url": 4, "locations": 9, "persons": 11, "organisations": 13, "names": 23}
@@ -132,7 +134,7 @@ def parsed_lines(df: DataFrame, id_col: str = "line_id", line: str = "line", kee
     """Every line once: id, kept columns, line, reason (null for sound lines) and the values of lines that parse."""
     rows = df.select(id_col, *keep, F.col(f"`{line}`").alias("line"))
     schema = T.StructType([*rows.schema, *[T.StructField(c, T.StringType()) for c in ("reason", *FIELDS)]])
-    return rows.mapInArrow(_parser, schema)
+    return spread(rows).mapInArrow(_parser, schema)
 
 
 def read_feed(df: DataFrame, id_col: str = "line_id", line: str = "line", keep: tuple[str, ...] = ("slot", "feed")) -> tuple[DataFrame, DataFrame]:
