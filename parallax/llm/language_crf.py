@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parallax.functions.lineage import spread
 from parallax.functions.sampling import bounded_sample
 
 #: Hash buckets of the features; training texts used at most; steps of training; words scored at a stretch.
@@ -315,7 +316,7 @@ def language_segments(df: DataFrame, field: LanguageField, id_col: str = "eviden
                     names=schema.fieldNames(),
                 )
 
-    return rows.mapInArrow(label, schema)
+    return spread(rows).mapInArrow(label, schema)
 
 
 def label_codes(codes: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parallax.functions.lineage import cut
+from parallax.functions.lineage import cut, spread
 from parallax.functions.sampling import bounded_sample
 from parallax.llm.quality_holdout import HOLDOUT
 
@@ -147,7 +147,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
             found = np.array([statistics(x, table) for x in batch.column(1).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(found[:, i]) for i in range(len(STATISTICS))]], names=[id_col, *STATISTICS])
 
-    return rows.mapInArrow(measure, schema)
+    return spread(rows).mapInArrow(measure, schema)
 
 
 class BoostedTrees:

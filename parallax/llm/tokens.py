@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parallax.functions.lineage import spread
+
 #: Folder of the vocabulary files, present on every worker; the file; the pattern that cuts text before merging.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -35,4 +37,4 @@ def token_sizes(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc
             columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(sizes, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
 
-    return rows.mapInArrow(measure, schema)
+    return spread(rows).mapInArrow(measure, schema)
