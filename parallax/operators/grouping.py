@@ -207,6 +207,8 @@ def threshold(forest: DataFrame, n: int, share: float, floor: float, hi: float =
         a, b, w = (np.concatenate([p[i] for p in parts]) if parts else np.array([]) for i in range(3))
         yield pa.RecordBatch.from_arrays([pa.array([search(a, b, w, n, share, floor, hi, step)], pa.float64())], names=["threshold"])
 
+    if forest.isEmpty():
+        return forest.sparkSession.createDataFrame([(float(hi),)], "threshold double")
     return forest.repartition(1).mapInArrow(find, "threshold double")
 
 
