@@ -11,6 +11,7 @@ a third of all documents is no single task. Tables per source and per chunk are
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from parallax.functions.lineage import cut
 #: Tokens of a block; rows of a chunk in two-level sums.
 BLOCK = 4096
 CHUNK = 20_000
+#: Blocks behind the end of a source's part that may fill what is left of it.
+TAIL = 64
 GOLDEN = 0.6180339887498949
 
 
@@ -78,9 +81,9 @@ def draw(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source: s
     line = line.withColumn("key", F.struct(F.shiftrightunsigned("key", 32), F.col("key"), F.col("id")))
     line = cut(_running(line, "source", "chunk", ["key"], "size", "at").select("source", "id", "size", "at"), "line")
     # slots; each source gets as many as its granted tokens take, in the order of the schedule
-    sums = plan.agg(F.sum("granted"), F.max(F.when(F.col("weight") > 0, F.col("granted") / F.col("weight")))).first()
-    # some more than the mean, for the discrepancy of the points
-    slots = int((sums[1] or 0) // block * 1.02) + 64 if sums[0] else 0
+    # so many that each source has a slot for each of its blocks, with two to spare for the discrepancy of the points
+    needed = plan.filter("granted > 0").agg(F.max((F.ceil(F.col("granted") / block) + 2) / F.col("weight"))).first()[0]
+    slots = int(needed or 0) + 1
     schedule = spark.range(slots).select(F.col("id").alias("slot"), F.expr(f"pmod(cast(id + 1 as double) * {GOLDEN}D, 1D)").alias("point"))
     bands = F.broadcast(plan.filter("granted > 0").select("source", "low", "high"))
     schedule = schedule.join(bands, (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))).select("slot", "source", F.lit(1).alias("one"), F.floor(F.col("slot") / CHUNK).alias("chunk"))
@@ -89,8 +92,27 @@ def draw(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source: s
     # starts at p x tokens + at of what is granted
     lines = F.broadcast(plan.filter("granted > 0").select("source", F.col("tokens").alias("whole"), "granted"))
     drawn = line.join(lines, "source").withColumn("repeat", F.explode(F.expr("sequence(0L, (granted - 1) div whole)")))
-    drawn = drawn.withColumn("start", F.col("repeat") * F.col("whole") + F.col("at")).filter("start + size div 2 < granted")
-    drawn = drawn.withColumn("rank", F.expr(f"start div {block}"))
+    drawn = drawn.withColumn("start", F.col("repeat") * F.col("whole") + F.col("at"))
+    # the document at the end is drawn if it goes over by half a block at most
+    inside = (F.col("start") < F.col("granted")) & (F.col("start") + F.col("size") <= F.col("granted") + block // 2)
+    taken = drawn.filter(inside).select("source", "id", "size", "repeat", F.expr(f"start div {block}").alias("rank"))
+    sums_of = cut(taken.groupBy("source").agg(F.sum("size").alias("got")), "got")
+    # what is left of a source is filled with documents just behind: a stretch of TAIL blocks of each source is looked at
+    behind = line.join(lines, "source").withColumn("repeat", F.expr("(granted - 1) div whole")).withColumn("start", F.col("repeat") * F.col("whole") + F.col("at"))
+    behind = behind.filter(~inside & (F.col("start") < F.col("granted") + TAIL * block)).join(F.broadcast(sums_of), "source", "left")  # one row per source
+    behind = behind.filter(F.col("size") <= F.col("granted") - F.coalesce("got", F.lit(0)))
+
+    def fill(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["start", "id"])
+        left = int(part["granted"].iloc[0]) - int(part["got"].fillna(0).iloc[0])
+        keep = []
+        for n in part["size"]:
+            keep.append(n <= left)
+            left -= int(n) if n <= left else 0
+        part = part[keep]
+        return part.assign(rank=(part["granted"] - 1) // block)[["source", "id", "size", "repeat", "rank"]]
+
+    drawn = taken.unionByName(behind.groupBy("source").applyInPandas(fill, "source string, id bigint, size bigint, repeat bigint, rank bigint"))
     mixture = drawn.join(ranked, ["source", "rank"]).select("slot", "source", F.col("id").alias(id_col), (F.col("repeat") + 1).cast("int").alias("repeat"), F.col("size").alias("n_tokens"))
     mixture = cut(mixture, "mixture")
     got = mixture.groupBy("source").agg(F.count("*").alias("drawn_docs"), F.sum("n_tokens").alias("drawn_tokens"), F.max("repeat").alias("most_repeats"))
