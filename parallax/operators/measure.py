@@ -127,7 +127,9 @@ def structure_test(table: DataFrame, keys: tuple[str, ...] = ("story_id", "actor
         return head.assign(sources=n, polities=len(sizes), p=round((beaten + 1) / (params.rounds + 1), 4), floor=round(1 / (params.rounds + 1), 4), powered=powered)
 
     schema = ", ".join(f"{k} string" for k in keys) + ", sources bigint, polities bigint, p double, floor double, powered boolean"
-    return table.groupBy(*keys).applyInPandas(test, schema)
+    # the counts are small and the draws are not: a fixed number of tasks, which the runtime doesn't merge by size
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(tasks, *keys).groupBy(*keys).applyInPandas(test, schema)
 
 
 def representative(rows: DataFrame, story: str = "story_id", keep_id: str = "evidence_id") -> DataFrame:
