@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
+_own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="parallax-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _own.get(app) or _own.setdefault(app, tempfile.mkdtemp(prefix="parallax-"))
     return folder.rstrip("/")
 
 
