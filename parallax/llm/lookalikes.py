@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache, reduce
 from math import log
 
 import pyarrow as pa
@@ -18,10 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parallax.functions.sampling import bounded_sample
-
-#: Texts that the n-grams are counted on, at most, beside the clean samples.
-TRAINING_TEXTS = 5000
 #: Letters that look alike, Latin first, then Cyrillic, then Greek.
 ALIKE = (
     "aаα bЬ cсϲ dԁ eеε gɡ hһ iіι jјϳ kкκ lӏ mм nпη oоο pрρ qԛ rг sѕ tтτ uυ vνѵ wԝω xхχ yуγ "
@@ -60,6 +58,25 @@ def _lattice() -> dict[tuple[str, str], str]:
 LATTICE = _lattice()
 
 
+def _unsure() -> dict[str, frozenset[str]]:
+    """Pairs of scripts to the letters of the first, in lower case, that a word may write with letters of the second."""
+    out: dict[str, set[str]] = {}
+    for c in {a for a, _ in LATTICE}:
+        for t in "lcg":
+            if t != script_of(c) and ((c, t) in LATTICE or any((d, t) in LATTICE for u in "lcg" for d in LATTICE.get((c, u), ""))):
+                out.setdefault(script_of(c) + t, set()).add(c.lower())
+    return {k: frozenset(v) for k, v in out.items()}
+
+
+UNSURE = _unsure()
+
+
+@lru_cache(1 << 16)
+def unsure(word: str) -> bool:
+    """Whether a word in lower case may look like one of another script: only then does it matter if it is known."""
+    return any(k[0] == script_of(word[0]) and letters.issuperset(word) for k, letters in UNSURE.items())
+
+
 def compatible(text: str) -> str:
     """Compatibility composition without ignorable characters."""
     if text.isascii():
@@ -67,15 +84,40 @@ def compatible(text: str) -> str:
     return unicodedata.normalize("NFKC", IGNORABLE.sub("", unicodedata.normalize("NFKC", IGNORABLE.sub("", text))))
 
 
+def words_of(text: str) -> list[str]:
+    """The words that are in one of the look-alike scripts."""
+    return [w for w in WORD.findall(compatible(text)) if len({script_of(c) for c in w}) == 1 and script_of(w[0])]
+
+
+def evidence_of(text: str) -> list[str]:
+    """The words whose script a text vouches for.
+
+    A word that may be a disguise counts where the whole text is in its script and another word is surely in it: else a
+    disguise that a large corpus repeats would become a known word.
+    """
+    words = words_of(text)
+    sure = [w for w in words if not unsure(w.lower())]
+    return words if sure and len({script_of(c) for c in compatible(text)} - {""}) == 1 else sure
+
+
+def grams_of(word: str) -> Iterator[str]:
+    """The n-grams of a word in lower case, and those that they are a share of."""
+    marked = f"^{word}$"
+    for i in range(1, len(marked)):
+        for k in (1, 2):
+            gram = marked[max(0, i - k) : i + 1]
+            yield gram
+            yield gram[:-1] + "*"
+
+
 class Scripts:
     """Character n-grams and known words of each script."""
 
     def __init__(self, texts: Iterable[str], least: int = 1):
         counts: dict[str, int] = {}
         for text in texts:
-            for w in WORD.findall(compatible(text)):
-                if len({script_of(c) for c in w}) == 1 and script_of(w[0]):
-                    counts[w] = counts.get(w, 0) + 1
+            for w in words_of(text):
+                counts[w] = counts.get(w, 0) + 1
         self.grams: dict[str, float] = {}
         self.known: set[str] = set()
         self.alphabet: dict[str, int] = {}
@@ -83,12 +125,8 @@ class Scripts:
             if n < least:
                 continue
             self.known.add(w.lower())
-            marked = f"^{w.lower()}$"
-            for i in range(1, len(marked)):
-                for k in (1, 2):
-                    gram = marked[max(0, i - k) : i + 1]
-                    self.grams[gram] = self.grams.get(gram, 0) + 1
-                    self.grams[gram[:-1] + "*"] = self.grams.get(gram[:-1] + "*", 0) + 1
+            for gram in grams_of(w.lower()):
+                self.grams[gram] = self.grams.get(gram, 0) + 1
         self._cost: dict[tuple[str, str], tuple[float, str]] = {}
 
     def step(self, before: str, c: str) -> float:
@@ -167,20 +205,50 @@ class Scripts:
         return unicodedata.normalize("NFC", "".join([*out, text[at:]]))
 
 
-def train_scripts(samples: Sequence[DataFrame], corpus: DataFrame | None = None, limit: int = TRAINING_TEXTS) -> Scripts:
-    """Count n-grams on clean samples (one text column each, small tables) and on at most `limit` texts of a corpus.
+def word_counts(texts: DataFrame, of: Callable[[str], list[str]] = words_of) -> DataFrame:
+    """(word, n): how often each word that `of` gives of a text occurs in all rows of the first column."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = Counter(w for text in batch.column(0).to_pylist() if text for w in of(text))
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    return texts.select(F.col(f"`{texts.columns[0]}`").alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def script_facts(words: DataFrame) -> DataFrame:
+    """(known, item, n) of words: their n-grams with the number of words that have them, and the unsure words themselves."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[tuple[bool, str]] = Counter()
+            for w in batch.column(0).to_pylist():
+                counts.update((False, gram) for gram in grams_of(w.lower()))
+                if unsure(w.lower()):
+                    counts[True, w.lower()] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in counts], pa.bool_()), pa.array([x for _, x in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["known", "item", "n"])
+
+    return words.select("word").mapInArrow(count, "known boolean, item string, n bigint").groupBy("known", "item").agg(F.sum("n").alias("n"))
+
+
+def train_scripts(samples: Sequence[DataFrame], corpus: DataFrame | None = None, least: int = 3) -> Scripts:
+    """Count n-grams and known words on clean samples and on all texts of a corpus (one text column each).
 
-    Of the corpus only words that it repeats and that are in one script count; texts are chosen by their hash.
+    Of the corpus only words that it has at least `least` times, and whose script the texts vouch for, count. Both are
+    counted where the texts are. The driver gets the n-grams, bounded by the alphabets, and the words whose letters all look like those of
+    another script; whether other words are known changes no spelling.
     """
-    clean = [r[0] for df in samples for r in bounded_sample(df.filter(F.col(df.columns[0]).isNotNull()), df.columns[0], limit).collect()]
-    scripts = Scripts(clean)
+    scripts = Scripts(())
+    clean = [word_counts(df) for df in samples]
+    counted = [reduce(DataFrame.unionByName, clean).select("word").distinct()] if clean else []
     if corpus is not None:
-        c = corpus.columns[0]
-        rows = [r[0] for r in bounded_sample(corpus.filter(F.col(c).isNotNull()), c, limit).collect()]
-        more = Scripts(rows, least=3)
-        for gram, n in more.grams.items():
-            scripts.grams[gram] = scripts.grams.get(gram, 0) + n
-        scripts.known |= more.known
+        counted.append(word_counts(corpus, evidence_of).filter(F.col("n") >= least))
+    for words in counted:
+        for known, item, n in script_facts(words).collect():
+            if known:
+                scripts.known.add(item)
+            else:
+                scripts.grams[item] = scripts.grams.get(item, 0) + n
     return scripts
 
 

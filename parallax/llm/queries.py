@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parallax.llm import dictionary_dedup, frequency, history_dedup, language_crf, lookalikes, mixing, packing, quality, tokens
 
@@ -35,7 +36,8 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scripts(spark: SparkSession, folder: str) -> lookalikes.Scripts:
     clean = [_table(spark, folder, "lang_sample").select("title"), _table(spark, folder, "actor_alias").select("alias")]
-    return lookalikes.train_scripts(clean, _table(spark, folder, "evidence").select("title"))
+    evidence = _table(spark, folder, "evidence")
+    return lookalikes.train_scripts(clean, evidence.select("title").union(evidence.select(F.explode(F.map_values("wrote")))))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,9 +1,10 @@
+import itertools
 import random
 import unicodedata
 
 import pytest
 
-from parallax.llm.lookalikes import LATTICE, Scripts, canonical_forms, compatible, disguised, script_of
+from parallax.llm.lookalikes import LATTICE, Scripts, canonical_forms, compatible, disguised, script_of, train_scripts
 
 CLEAN = ["Port workers pay the old bridge", "two judges keep the harbour closed", "say no more", "Veldória calls for calm", "рабочие порта не хотят платить", "у моста в городе", "судьи и врачи", "Οι λιμενεργάτες στην πόλη", "για τους αγρότες", "в порту"]
 
@@ -65,3 +66,32 @@ def test_rows(spark, scripts):
     assert canonical_forms(df, scripts).count() == 5 + 4
     assert canonical_forms(df.limit(0), scripts).count() == 0
     assert script_of("1") == script_of("在") == ""
+
+
+def test_all_texts_of_a_large_corpus_count(spark):
+    words = ["".join(w) for w in itertools.product("асеор", repeat=4)][:600]
+    texts = [f"{w} жук" for w in words for _ in range(3)] + [f"сам{w} жук" for w in words[:9]] + [f"filler {i}" for i in range(10_000)]
+    corpus = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "title string")
+    scripts = train_scripts([corpus.limit(0)], corpus)
+    assert set(words) <= scripts.known and not any(w.startswith("сам") for w in scripts.known)
+    whole = Scripts(texts, least=3)
+    assert scripts.grams == whole.grams and scripts.known <= whole.known
+
+
+def test_repeated_disguise_is_not_known(spark):
+    corpus = spark.createDataFrame([("The judges will not рау",)] * 40 + [("The judges will not pay",)] * 99 + [("рабочие порта не рады",)] * 9, "title string")
+    scripts = train_scripts([corpus.limit(0)], corpus)
+    assert "pay" in scripts.known and "рау" not in scripts.known
+    assert scripts.canonical("The judges will not рау") == "The judges will not pay"
+
+
+def test_only_unsure_words_need_be_known(spark):
+    rng = random.Random(3)
+    rows = spark.createDataFrame([(t,) for t in CLEAN], "text string")
+    whole, bounded = Scripts(CLEAN), train_scripts([rows])
+    assert bounded.grams == whole.grams and bounded.known < whole.known
+    for _ in range(500):
+        text = " ".join(rng.sample(CLEAN, 2))
+        text = "".join(rng.choice(LATTICE.get((c, rng.choice("lcg")), c)) if rng.random() < 0.3 else c for c in text)
+        text = text.upper() if rng.random() < 0.2 else text
+        assert bounded.canonical(text) == whole.canonical(text)
