@@ -61,9 +61,9 @@ def two_stage_stories(spark, folder):
 
 @query("projection", None)
 def projection(spark, folder):
-    """Two labels of the test vectors, without the refusal that their overlap would bring."""
-    rows = vectors(spark, folder).join(table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("bigint").alias("label")), "id").filter("label < 3")
-    return grouping.project(rows, least_agreement=0.0).select("id", "label", "x", "y")
+    """All groups of the vectors; nothing where neighbours in the plane agree on the group too seldom."""
+    rows = vectors(spark, folder).join(table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("bigint").alias("label")), "id")
+    return grouping.project(rows).select("id", "label", "x", "y")
 
 
 @query("label_centroids", "SELECT label, round(avg(embedding[1]), 6) AS x, round(avg(embedding[2]), 6) AS y, count(*) AS n FROM embeddings GROUP BY label")
