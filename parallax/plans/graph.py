@@ -77,8 +77,8 @@ def seeded_story_ids(spark, folder):
     return table(spark, folder, "capture").filter("url is not null").select("url", identity.seeded_id(F.col("url")).alias("id")).distinct()
 
 
-def _runs(spark, folder):
-    """Two overlapping runs: stories of addresses by publisher, with a share of them in both."""
+def _halves(spark, folder):
+    """Two overlapping parts of the rows, as the SQL of url_containment has them: stories of addresses by publisher, with a share of them in both."""
     rows = table(spark, folder, "capture").filter("url is not null and domain is not null")
     known = rows.filter("capture_id % 10 < 7").groupBy("url").agg(F.min("domain").alias("d")).select(F.concat(F.lit("k-"), "d").alias("id"), "url", F.crc32("d").alias("prior_rank"))
     now = rows.filter("capture_id % 10 >= 3").groupBy("url").agg(F.min("domain").alias("d")).select(F.crc32(F.substring("d", 1, 6)).alias("cluster"), "url")
@@ -92,6 +92,25 @@ def _runs(spark, folder):
     "SELECT 'k-' || d AS id, shared, nk, round(shared / least(nc, nk), 6) AS containment FROM s JOIN nc USING (c) JOIN nk USING (d)",
 )
 def url_containment(spark, folder):
+    return identity.containment(*_halves(spark, folder)).select("id", "shared", "nk", F.round("containment", 6).alias("containment"))
+
+
+def _runs(spark, folder):
+    """(cluster, url) of the stories of the later half of the runs, (id, url, prior_rank) of all runs before, over all rows of evidence."""
+    rows = table(spark, folder, "evidence").filter("run is not null and story_id is not null and url is not null")
+    runs = sorted(r[0] for r in rows.select("run").distinct().collect())
+    before = F.col("run") <= F.lit(runs[(len(runs) - 1) // 2] if runs else "")
+    rank = F.xxhash64("story_id")
+    return rows.filter(~before).select(rank.alias("cluster"), "url").distinct(), rows.filter(before).select(F.col("story_id").alias("id"), "url", rank.alias("prior_rank")).distinct()
+
+
+@query(
+    "run_containment",
+    "WITH r AS (SELECT * FROM evidence WHERE run IS NOT NULL AND story_id IS NOT NULL AND url IS NOT NULL), m AS (SELECT quantile_disc(run, 0.5) AS m FROM (SELECT DISTINCT run FROM r)), k AS (SELECT DISTINCT story_id, url FROM r, m WHERE run <= m), c AS (SELECT DISTINCT story_id, url FROM r, m WHERE run > m), "
+    "s AS (SELECT c.story_id AS c, k.story_id AS id, count(*) AS shared FROM c JOIN k USING (url) GROUP BY ALL), nc AS (SELECT story_id AS c, count(*) AS nc FROM c GROUP BY ALL), nk AS (SELECT story_id AS id, count(*) AS nk FROM k GROUP BY ALL) "
+    "SELECT id, shared, nk, round(shared / least(nc, nk), 6) AS containment FROM s JOIN nc USING (c) JOIN nk USING (id)",
+)
+def run_containment(spark, folder):
     return identity.containment(*_runs(spark, folder)).select("id", "shared", "nk", F.round("containment", 6).alias("containment"))
 
 
