@@ -200,12 +200,10 @@ def ngram_minutes(spark, folder):
 
 @query("assembled_titles")
 def assembled_titles(spark, folder):
-    """Titles cut into overlapping pieces and put together again."""
-    words = F.split(F.trim(F.regexp_replace(F.col("title"), r"\s+", " ")), " ")
-    rows = table(spark, folder, "lang_sample").select(F.concat(F.lit("t"), F.col("sample_id").cast("string")).alias("url"), words.alias("w")).filter("size(w) > 3")
-    starts = F.sequence(F.lit(0), F.size("w") - 3, F.lit(2))
-    pieces = rows.select("url", F.posexplode(F.transform(starts, lambda k: F.array_join(F.slice("w", k + 1, 4), " "))).alias("k", "text"), "w")
-    return assemble.assembled(pieces.select("url", F.floor(F.col("k") * 20 / F.size("w")).cast("int").alias("pos"), "text"))
+    """The texts of all documents cut into overlapping pieces and put together again; url is the document's id."""
+    bodies = assemble.assembled(assemble.fragments_of(table(spark, folder, "documents")))
+    characters = F.translate(F.replace("body", F.lit(" "), F.lit("")), assemble.GAP, " ")
+    return bodies.select(F.substring("url", 2, 1 << 30).alias("url"), F.when(F.col("url").startswith("c"), characters).otherwise(F.col("body")).alias("body"))
 
 
 @query("stream_daily_counts", "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
