@@ -15,11 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.functions.lineage import cut
+from parallax.functions.lineage import cut, heavy_light_lookup, release
 from parallax.params import DEFAULT, Params
 
 #: Vectors of a block in the similarity join; edges of one merge task, about.
 BLOCK, MERGE = 4096, 2_000_000
+#: Vectors of a block at least, where there are so many.
+LEAST_BLOCK = 256
+#: Neighbours above which a node is met by broadcast; of E edges at most 2 E / HUB are such.
+HUB = 100_000
 EDGE = "a bigint, b bigint, score float"
 
 
@@ -38,8 +42,12 @@ def normalised(df: DataFrame, id_col: str, vector: str, dim: int) -> DataFrame:
 
 
 def _blocks(vectors: DataFrame, block: int) -> tuple[DataFrame, int]:
-    """(block, ids, data): packed blocks of about `block` vectors by a hash of the id."""
-    count = max(1, -(-vectors.count() // block))
+    """(block, ids, data): packed blocks of at most about `block` vectors by a hash of the id, and their number.
+
+    Few vectors make smaller blocks, so that their pairs occupy all cores.
+    """
+    n, cores = vectors.count(), vectors.sparkSession.sparkContext.defaultParallelism
+    count = max(1, -(-n // block), min(n // LEAST_BLOCK, int(np.ceil(np.sqrt(2 * cores)))))
     keyed = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
@@ -51,10 +59,15 @@ def _blocks(vectors: DataFrame, block: int) -> tuple[DataFrame, int]:
 
 
 def _pairs(blocks: DataFrame, count: int) -> DataFrame:
-    """Each block with each block not before it: every pair of vectors meets in one task of bounded size."""
-    left = blocks.select(F.col("block").alias("i"), F.col("ids").alias("ids_i"), F.col("data").alias("data_i")).withColumn("j", F.explode(F.sequence("i", F.lit(count - 1))))
-    right = blocks.select(F.col("block").alias("j"), F.col("ids").alias("ids_j"), F.col("data").alias("data_j"))
-    return left.join(right, "j").repartition(F.col("i"), F.col("j"))
+    """Each block with each block not before it: every pair of vectors meets in one task of bounded size.
+
+    Both sides carry the whole pair as key, so each key has one row a side and no block's copies gather in one task.
+    """
+    kept = cut(blocks, "blocks")
+    left = kept.select(F.col("block").alias("i"), F.col("ids").alias("ids_i"), F.col("data").alias("data_i")).withColumn("j", F.explode(F.sequence("i", F.lit(count - 1))))
+    right = kept.select(F.col("block").alias("j"), F.col("ids").alias("ids_j"), F.col("data").alias("data_j")).withColumn("i", F.explode(F.sequence(F.lit(0), "j")))
+    tasks = min(count * (count + 1) // 2, 20_000)
+    return left.repartition(tasks, "i", "j").join(right.repartition(tasks, "i", "j").hint("shuffle_hash"), ["i", "j"]).select("i", "j", "ids_i", "data_i", "ids_j", "data_j")
 
 
 def _hits(row: tuple, dim: int, floor: float):
@@ -122,11 +135,11 @@ def cosine_edges(vectors: DataFrame, dim: int, floor: float, block: int = BLOCK)
     return _edge_batches(*_blocks(vectors, block), dim, floor, forest=False)
 
 
-def spanning_forest(edges: DataFrame, width: int = 16) -> DataFrame:
+def spanning_forest(edges: DataFrame, width: int = 16, most: int = MERGE) -> DataFrame:
     """The maximum spanning forest of edges (a, b, score), merged in rounds of tasks until one holds it.
 
-    A round's tasks keep at most nodes - 1 edges each, so the rows shrink towards one forest. The last one has an edge per
-    row at most: that is the floor of any exact single-linkage result.
+    A round's tasks keep at most nodes - 1 edges each, so the rows shrink towards one forest. Where that has more than
+    `most` edges the rounds end with several tasks' forests, which have the same components at every threshold.
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +151,14 @@ def spanning_forest(edges: DataFrame, width: int = 16) -> DataFrame:
         if kept:
             yield _batch(*_reduce(kept))
 
-    parts = max(1, edges.rdd.getNumPartitions())
-    while parts > 1:
-        parts = max(1, parts // width)
+    left, parts = edges.count(), max(1, edges.rdd.getNumPartitions())
+    while parts > 1 and left:
+        # a task holds so many edges as it merges at a time, so there may be more tasks than one at the end
+        parts = max(1, parts // width, -(-left // most) if left > most else 1)
         edges = cut(edges.repartition(parts, "a").mapInArrow(merge, EDGE) if parts > 1 else edges.repartition(1).mapInArrow(merge, EDGE), "forest")
+        before, left = left, edges.count()
+        if left > most and left > 0.9 * before:
+            break
     return edges
 
 
@@ -150,37 +167,40 @@ def vector_forest(vectors: DataFrame, dim: int, floor: float, block: int = BLOCK
     return spanning_forest(cut(_edge_batches(*_blocks(vectors, block), dim, floor, forest=True), "local"))
 
 
+def growth(a: np.ndarray, b: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, largest) of edges, best first: the largest component after each of them; one row is the largest before."""
+    order = np.argsort(-score, kind="stable")
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    ends = flat.reshape(2, -1)[:, order].T.tolist()
+    group = {i: [i] for i in range(len(nodes))}  # the smaller member list always moves, so a node moves log2(nodes) times
+    home = list(range(len(nodes)))
+    largest = [1]
+    for u, v in ends:
+        x, y = group[home[u]], group[home[v]]
+        if x is not y:
+            if len(x) < len(y):
+                x, y = y, x
+            group.pop(home[y[0]])
+            for node in y:
+                home[node] = home[x[0]]
+            x += y
+        largest.append(max(largest[-1], len(group[home[u]])))
+    return score[order].astype(np.float64), np.array(largest)
+
+
 def search(a: np.ndarray, b: np.ndarray, score: np.ndarray, n: int, share: float, floor: float, hi: float, step: float) -> float | None:
-    """The lowest threshold, walking down from hi, before the largest component exceeds share x n.
+    """The lowest threshold before the largest component exceeds share x n, of those from hi down to floor by step.
 
-    hi with one row or no edges; None if even hi percolates. Candidates are compared in double precision.
+    hi with one row or no edges; None if even hi percolates. Every candidate is looked up in the growth of the largest
+    component at once; candidates are compared in double precision.
     """
     if n <= 1 or not len(score):
         return hi
-    order = np.argsort(-score, kind="stable")
-    falling = -score[order].astype(np.float64)
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = flat[: len(a)][order], flat[len(a) :][order]
-    parent, size = list(range(len(nodes))), [1] * len(nodes)
-    largest, at, chosen = 1, 0, None
-    for k in range(int(round((hi - floor) / step)) + 1):
-        candidate = hi - k * step
-        stop = int(np.searchsorted(falling, -candidate, side="right"))
-        for e in range(at, stop):
-            u, v = int(x[e]), int(y[e])
-            while parent[u] != u:
-                parent[u] = u = parent[parent[u]]
-            while parent[v] != v:
-                parent[v] = v = parent[parent[v]]
-            if u != v:
-                parent[v] = u
-                size[u] += size[v]
-                largest = max(largest, size[u])
-        at = max(at, stop)
-        if largest > share * n:
-            break
-        chosen = candidate
-    return None if chosen is None else round(chosen, 4)
+    scores, largest = growth(a, b, score)
+    candidates = hi - step * np.arange(int(round((hi - floor) / step)) + 1)
+    sizes = largest[np.searchsorted(-scores, -candidates, side="right")]
+    below = int((sizes <= share * n).sum())  # sizes never fall
+    return round(float(candidates[below - 1]), 4) if below else None
 
 
 def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,64 +219,148 @@ def label(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[np.array(parent, np.int64)] if len(nodes) else nodes
 
 
-def threshold(forest: DataFrame, n: int, share: float, floor: float, hi: float = DEFAULT.threshold_hi, step: float = DEFAULT.threshold_step) -> DataFrame:
-    """(threshold): the percolation threshold from a spanning forest, searched in one task that streams its edges."""
+def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """The three columns of edges, whole: at most MERGE edges are handed to one task."""
+    held = list(batches)
+    return [np.concatenate([np.zeros(0, kind), *[np.asarray(x.column(c)) for x in held]]) for c, kind in (("a", np.int64), ("b", np.int64), ("score", np.float32))]
+
+
+def threshold(forest: DataFrame, n: int, share: float, floor: float, hi: float = DEFAULT.threshold_hi, step: float = DEFAULT.threshold_step, most: int = MERGE) -> DataFrame:
+    """(threshold): the percolation threshold from a spanning forest.
+
+    Up to `most` edges are searched in one task; of more, the candidates are halved, with the components of each taken
+    by distributed contraction.
+    """
+    spark, edges = forest.sparkSession, forest.count()
+    if n <= 1 or not edges:
+        return spark.createDataFrame([(float(hi),)], "threshold double")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(np.asarray(x.column(c)) for c in ("a", "b", "score")) for x in batches]
-        a, b, w = (np.concatenate([p[i] for p in parts]) if parts else np.array([]) for i in range(3))
-        yield pa.RecordBatch.from_arrays([pa.array([search(a, b, w, n, share, floor, hi, step)], pa.float64())], names=["threshold"])
+        yield pa.RecordBatch.from_arrays([pa.array([search(*_columns(batches), n, share, floor, hi, step)], pa.float64())], names=["threshold"])
 
-    if forest.isEmpty():
-        return forest.sparkSession.createDataFrame([(float(hi),)], "threshold double")
-    return forest.repartition(1).mapInArrow(find, "threshold double")
+    if edges <= most:
+        return forest.repartition(1).mapInArrow(find, "threshold double")
+    low, high = 0, int(round((hi - floor) / step)) + 1  # candidates before low fit, from high on they don't
+    while low < high:
+        middle = (low + high) // 2
+        kept = forest.filter(F.col("score").cast("double") >= hi - step * middle).withColumn("score", F.lit(1.0).cast("float"))
+        largest = components(kept, 0.0, most).groupBy("component").count().agg(F.max("count")).first()[0] or 1
+        low, high = (middle + 1, high) if largest <= share * n else (low, middle)
+    return spark.createDataFrame([(round(hi - step * (low - 1), 4) if low else None,)], "threshold double")
 
 
-def components(forest: DataFrame, at: float) -> DataFrame:
-    """(id, component) of the rows that edges of at least `at` (in single precision) touch; component is the smallest id."""
+def contracted(edges: DataFrame) -> DataFrame:
+    """(id, component) by alternating stars: every node comes to hang on its component's smallest one.
+
+    A round joins each node's neighbours to the smallest of them; nodes with many neighbours are met by broadcast, of which
+    there are few. Rounds end when nothing changes, after about the logarithm of the longest path.
+    """
+    now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "stars")
+    mark = None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count("*").alias("n"))
+        large = heavy_light_lookup(both.filter("v > u"), least, ["u"], "n", HUB, ["m"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = cut(large, "stars")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = heavy_light_lookup(large, least, ["u"], "n", HUB, ["m"]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        after = cut(small, "stars")
+        seen = after.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+        release(now, large)
+        now = after
+        if seen == mark:
+            break
+        mark = seen
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def components(forest: DataFrame, at: float, most: int = MERGE) -> DataFrame:
+    """(id, component) of the rows that edges of at least `at` (in single precision) touch; component is the smallest id.
+
+    Up to `most` edges are labelled in one task, more of them by distributed contraction.
+    """
+    kept = forest.filter(F.col("score") >= F.lit(at).cast("float"))
+    if kept.count() > most:
+        return contracted(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [tuple(np.asarray(x.column(c)) for c in ("a", "b", "score")) for x in batches]
-        if not parts:
-            return
-        a, b, w = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        kept = w >= np.float32(at)
-        nodes, first = label(a[kept], b[kept])
+        a, b, _ = _columns(batches)
+        nodes, first = label(a, b)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(first, pa.int64())], names=["id", "component"])
 
-    return forest.repartition(1).mapInArrow(run, "id bigint, component bigint")
+    return kept.repartition(1).mapInArrow(run, "id bigint, component bigint")
 
 
-def two_stage(forest: DataFrame, n: int, params: Params = DEFAULT) -> DataFrame:
-    """(id, theme, story): themes at the percolation threshold, then stories by a second search within each theme.
+def _stories(forest: DataFrame, n: int, params: Params, most: int) -> tuple[DataFrame, float | None]:
+    """((theme, kind, threshold, id, story), theme threshold): members of stories, and a row without id for each theme.
 
-    A theme that doesn't split is a story if it is too small for the second share to bind (min_story / story_share rows),
-    and dropped if larger. The second stage runs per theme on the forest's own edges.
+    kind is split, whole (too small for the second share to bind) or dropped (it doesn't split).
     """
-    at = threshold(forest, n, params.theme_share, params.edge_floor, params.threshold_hi, params.threshold_step).first()["threshold"]
+    spark = forest.sparkSession
+    schema = "theme bigint, kind string, threshold double, id bigint, story bigint"
+    at = threshold(forest, n, params.theme_share, params.edge_floor, params.threshold_hi, params.threshold_step, most).first()["threshold"]
     if at is None:
-        return forest.sparkSession.createDataFrame([], "id bigint, theme bigint, story bigint")
-    member = components(forest, at)
+        return spark.createDataFrame([], schema), None
+    member = components(forest, at, most)
     themes = member.groupBy("component").agg(F.count("*").alias("size")).filter(F.col("size") >= params.min_theme)
-    member = cut(member.join(themes, "component"), "member")
-    inside = forest.filter(F.col("score") >= F.lit(at).cast("float")).join(member.select(F.col("id").alias("a"), F.col("component").alias("theme"), "size"), "a")
+    member = cut(member.join(themes, "component").select("id", F.col("component").alias("theme"), "size"), "member")
+    inside = cut(forest.filter(F.col("score") >= F.lit(at).cast("float")).join(member.withColumnRenamed("id", "a"), "a"), "inside")
+
+    def outcome(size: int, stories: int) -> str:
+        return "split" if stories else "whole" if params.min_story <= size < params.min_story / params.story_share else "dropped"
 
     def split(part: pd.DataFrame) -> pd.DataFrame:
         a, b, w = part["a"].to_numpy(), part["b"].to_numpy(), part["score"].to_numpy(np.float32)
         size, theme = int(part["size"].iloc[0]), int(part["theme"].iloc[0])
         second = search(a, b, w, size, params.story_share, at, params.threshold_hi, params.threshold_step)
-        rows: list[tuple[int, int]] = []
+        nodes, first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if second is not None:
             kept = w >= np.float32(second)
             nodes, first = label(a[kept], b[kept])
             starts, counts = np.unique(first, return_counts=True)
-            good = set(starts[counts >= params.min_story].tolist())
-            rows = [(i, s) for i, s in zip(nodes.tolist(), first.tolist()) if s in good]
-        if not rows and params.min_story <= size < params.min_story / params.story_share:
-            rows = [(i, theme) for i in np.unique(np.concatenate([a, b])).tolist()]
-        return pd.DataFrame({"id": [r[0] for r in rows], "theme": theme, "story": [r[1] for r in rows]}, columns=["id", "theme", "story"]).astype("int64")
+            good = np.isin(first, starts[counts >= params.min_story])
+            nodes, first = nodes[good], first[good]
+        kind = outcome(size, len(nodes))
+        if kind == "whole":
+            nodes = np.unique(np.concatenate([a, b]))
+            first = np.full(len(nodes), theme)
+        ids = pd.array([None, *nodes.tolist()], dtype="Int64")
+        return pd.DataFrame({"theme": theme, "kind": kind, "threshold": second, "id": ids, "story": pd.array([None, *first.tolist()], dtype="Int64")})
+
+    rows = inside.filter(F.col("size") <= most).groupBy("theme").applyInPandas(split, schema)
+    # themes above what a task may hold: of n rows at most n / most are such
+    for theme, size in member.filter(F.col("size") > most).select("theme", "size").distinct().collect():
+        own = inside.filter(F.col("theme") == theme).select("a", "b", "score")
+        second = threshold(own, size, params.story_share, at, params.threshold_hi, params.threshold_step, most).first()["threshold"]
+        found = spark.createDataFrame([], "id bigint, component bigint") if second is None else components(own, second, most)
+        sizes = found.groupBy("component").agg(F.count("*").alias("k")).filter(F.col("k") >= params.min_story)
+        found = cut(found.join(sizes, "component").select("id", F.col("component").alias("story")), "big")
+        kind = outcome(size, found.count())
+        if kind == "whole":
+            found = member.filter(F.col("theme") == theme).select("id", F.lit(theme).alias("story"))
+        head = spark.createDataFrame([(theme, kind, second, None, None)], schema)
+        rows = rows.unionByName(head).unionByName(found.select(F.lit(theme).alias("theme"), F.lit(kind).alias("kind"), F.lit(second).cast("double").alias("threshold"), "id", "story"))
+    return rows, at
+
+
+def two_stage(forest: DataFrame, n: int, params: Params = DEFAULT, most: int = MERGE) -> DataFrame:
+    """(id, theme, story): themes at the percolation threshold, then stories by a second search within each theme.
 
-    return inside.groupBy("theme").applyInPandas(split, "id bigint, theme bigint, story bigint")
+    A theme that doesn't split is a story if it is too small for the second share to bind (min_story / story_share rows),
+    and dropped if larger. The second stage runs per theme on the forest's own edges.
+    """
+    return _stories(forest, n, params, most)[0].filter("id is not null").select("id", "theme", "story")
+
+
+def two_stage_report(forest: DataFrame, n: int, params: Params = DEFAULT, most: int = MERGE) -> DataFrame:
+    """(articles, theme_threshold, themes, unsplit_themes, indivisible_themes, story_thresholds, stories, articles_in_stories)."""
+    rows, at = _stories(forest, n, params, most)
+    head = F.col("id").isNull()
+    return rows.agg(
+        F.lit(n).cast("bigint").alias("articles"), F.lit(at).cast("double").alias("theme_threshold"), F.count_if(head).alias("themes"), F.count_if(head & (F.col("kind") == "dropped")).alias("unsplit_themes"),
+        F.count_if(head & (F.col("kind") == "whole")).alias("indivisible_themes"), F.count_if(head & F.col("threshold").isNotNull()).alias("story_thresholds"),
+        F.count_distinct("story").alias("stories"), F.count("id").alias("articles_in_stories"),
+    )
 
 
 def project(rows: DataFrame, per_group: int = 120, least_agreement: float = 0.75, grid: int = 1000) -> DataFrame:

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from parallax.functions.lineage import cut
 from parallax.params import DEFAULT
 
-EVENT = "seq bigint, type string, id string, cluster bigint, sources array<string>"
-
 
 def seeded_id(url: Column) -> Column:
     return F.concat(F.lit("s-"), F.substring(F.sha1(url.cast("binary")), 1, 12))
 
 
 def containment(clusters: DataFrame, known: DataFrame) -> DataFrame:
-    """(cluster, id, shared, containment): shared addresses over the smaller set, for pairs that share one.
+    """(cluster, id, shared, nk, prior_rank, containment): shared addresses over the smaller set, for pairs that share one.
 
     clusters holds (cluster, url), known (id, url, prior_rank). Only pairs with a common url are formed.
     """
@@ -30,51 +29,67 @@ def containment(clusters: DataFrame, known: DataFrame) -> DataFrame:
     return met.select("cluster", "id", "shared", "nk", "prior_rank", (F.col("shared") / F.least("nc", "nk")).alias("containment"))
 
 
-def fresh_id(urls: list[str], taken: set[str]) -> str:
-    """The id seeded by the first url, in order, whose id is free; else by all of them."""
-    for url in sorted(urls):
-        found = "s-" + hashlib.sha1(url.encode()).hexdigest()[:12]
-        if found not in taken:
-            return found
-    return "s-" + hashlib.sha1("|".join(sorted(urls)).encode()).hexdigest()[:12]
+def _first_come(rows: DataFrame, wishes: str, all_of_them: bool) -> DataFrame:
+    """(cluster, got): clusters in order take those of their wishes that none before took; all of them, or the first only.
+
+    Only clusters that share a wish with another are walked in order, in one task that holds the wishes taken; the others
+    get what they ask for where they are. rows: cluster, the array of wishes.
+    """
+    asked = rows.select("cluster", F.explode(wishes).alias("w"))
+    shared = asked.groupBy("w").agg(F.count("*").alias("n")).filter("n > 1").select("w")
+    met = cut(asked.join(shared, "w").select("cluster").distinct(), "contested")
+    schema = T.StructType([rows.schema["cluster"], T.StructField("got", T.ArrayType(T.StringType()))])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken: set[str] = set()
+        for batch in batches:
+            got = []
+            for wish in batch.column(1).to_pylist():
+                free = [w for w in wish if w not in taken]
+                free = free if all_of_them else free[:1]
+                taken.update(free)
+                got.append(free)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.string()))], names=["cluster", "got"])
+
+    contested = rows.join(met, "cluster", "left_semi").select("cluster", F.col(wishes).alias("w")).repartition(1).sortWithinPartitions("cluster").mapInArrow(walk, schema)
+    own = F.col(wishes) if all_of_them else F.slice(wishes, 1, 1)
+    return rows.join(met, "cluster", "left_anti").select("cluster", own.alias("got")).unionByName(contested)
+
+
+def fresh_ids(clusters: DataFrame, taken: DataFrame) -> DataFrame:
+    """(cluster, id): for each cluster in order the id seeded by its first address whose id is free, else by all of them.
+
+    clusters: cluster, url; taken: id. Ids in use are dropped by a join, what remains is first come, first served.
+    """
+    urls = clusters.select("cluster", "url").distinct().withColumn("seed", seeded_id(F.col("url")))
+    free = urls.join(taken.select(F.col("id").alias("seed")).distinct(), "seed", "left_anti")
+    wishes = free.groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("url", "seed"))), lambda x: x["seed"]).alias("wishes"))
+    every = urls.groupBy("cluster").agg(seeded_id(F.array_join(F.sort_array(F.collect_list("url")), "|")).alias("whole"))
+    rows = cut(every.join(wishes, "cluster", "left").select("cluster", "whole", F.coalesce("wishes", F.array().cast("array<string>")).alias("wishes")), "wishes")
+    got = _first_come(rows.select("cluster", "wishes"), "wishes", False)
+    return rows.join(got, "cluster", "left").select("cluster", F.coalesce(F.try_element_at("got", F.lit(1)), "whole").alias("id"))
 
 
 def reconcile(clusters: DataFrame, known: DataFrame, least: float = DEFAULT.containment) -> DataFrame:
-    """Lifecycle events (seq, type, id, cluster, sources): kept, created, merged, split, dormant.
+    """What became of each cluster and each known story: (seq, type, id, cluster, sources).
 
     Clusters are taken in order; each takes the largest free known story that it contains enough of (the earlier of
-    equals) and absorbs the other free ones. A cluster whose candidates are all taken is a split. Known stories that no
-    cluster took or absorbed are dormant. Candidates come from a distributed join; the greedy walk streams over one row
-    per cluster in order, holding the ids in use.
+    equals) and absorbs the other free ones: 'merged' with the absorbed as sources, 'kept' without. A cluster whose
+    candidates are all taken is a 'split' with these as sources, one without candidates is 'created'; both get a fresh id.
+    Known stories that no cluster took or absorbed are 'dormant', without cluster. sources are sorted by id; seq orders
+    the rows as they happen: clusters first, then dormant stories in prior order.
     """
     candidates = containment(clusters, known).filter(F.col("containment") >= least)
-    packed = candidates.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct((-F.col("nk")).alias("size"), "prior_rank", "id"))).alias("candidates"))
-    firsts = clusters.groupBy("cluster").agg(F.sort_array(F.collect_set("url")).alias("urls"))
+    order = F.sort_array(F.collect_list(F.struct((-F.col("nk")).alias("size"), "prior_rank", "id")))
+    packed = cut(candidates.groupBy("cluster").agg(F.transform(order, lambda x: x["id"]).alias("wishes")), "candidates")
+    names = clusters.select("cluster").distinct()
+    settled = cut(names.join(packed, "cluster", "left").join(_first_come(packed, "wishes", True), "cluster", "left"), "settled")
     ids = known.groupBy("id").agg(F.min("prior_rank").alias("prior_rank"))
-    rows = firsts.join(packed, "cluster", "left").select(F.lit(1).alias("kind"), F.col("cluster"), "urls", F.coalesce(F.transform("candidates", lambda x: x["id"]), F.array().cast("array<string>")).alias("ids"))
-    prior = ids.select(F.lit(0).alias("kind"), F.col("prior_rank").cast("bigint").alias("cluster"), F.array().cast("array<string>").alias("urls"), F.array("id").alias("ids"))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order: list[str] = []
-        taken: set[str] = set()
-        used: set[str] = set()
-        seq, out = 0, []
-        for batch in batches:
-            for kind, cluster, urls, found in zip(*(batch.column(c).to_pylist() for c in ("kind", "cluster", "urls", "ids"))):
-                if kind == 0:
-                    order.append(found[0])
-                    taken.add(found[0])
-                    continue
-                free = [i for i in found if i not in used]
-                if free:
-                    used.update(free)
-                    out.append((seq, "merged" if len(free) > 1 else "kept", free[0], cluster, free[1:]))
-                else:
-                    own = fresh_id(urls, taken)
-                    taken.add(own)
-                    out.append((seq, "split" if found else "created", own, cluster, found))
-                seq += 1
-        out += [(seq + k, "dormant", i, None, []) for k, i in enumerate(x for x in order if x not in used)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())))], names=["seq", "type", "id", "cluster", "sources"])
-
-    return prior.unionByName(rows).repartition(1).sortWithinPartitions("kind", "cluster").mapInArrow(walk, EVENT)
+    fresh = fresh_ids(clusters.join(settled.filter("coalesce(size(got), 0) <= 0").select("cluster"), "cluster", "left_semi"), ids)
+    got = F.coalesce("got", F.array().cast("array<string>"))
+    kind = F.when(F.size(got) > 1, "merged").when(F.size(got) == 1, "kept").when(F.col("wishes").isNotNull(), "split").otherwise("created")
+    others = F.when(F.size(got) > 0, F.slice(got, 2, 1 << 30)).otherwise(F.coalesce("wishes", F.array().cast("array<string>")))
+    taken = settled.join(fresh, "cluster", "left").select(F.lit(0).alias("last"), F.col("cluster").alias("place"), kind.alias("type"), F.coalesce(F.try_element_at(got, F.lit(1)), "id").alias("id"), "cluster", F.sort_array(others).alias("sources"))
+    held = settled.select(F.explode("got").alias("id"))
+    quiet = ids.join(held, "id", "left_anti").select(F.lit(1).alias("last"), F.col("prior_rank").cast(taken.schema["place"].dataType).alias("place"), F.lit("dormant").alias("type"), "id", F.lit(None).cast(taken.schema["cluster"].dataType).alias("cluster"), F.array().cast("array<string>").alias("sources"))
+    return taken.unionByName(quiet).select(F.struct("last", "place", "id").alias("seq"), "type", "id", "cluster", "sources")

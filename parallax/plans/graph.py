@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parallax.operators import grouping, identity
@@ -96,12 +97,16 @@ def url_containment(spark, folder):
 
 
 def _runs(spark, folder):
-    """(cluster, url) of the stories of the later half of the runs, (id, url, prior_rank) of all runs before, over all rows of evidence."""
+    """(cluster, url) of the stories of the later half of the runs, (id, url, prior_rank) of all runs before, over all rows of evidence.
+
+    Stories are taken in order of their names.
+    """
     rows = table(spark, folder, "evidence").filter("run is not null and story_id is not null and url is not null")
-    runs = sorted(r[0] for r in rows.select("run").distinct().collect())
-    before = F.col("run") <= F.lit(runs[(len(runs) - 1) // 2] if runs else "")
-    rank = F.xxhash64("story_id")
-    return rows.filter(~before).select(rank.alias("cluster"), "url").distinct(), rows.filter(before).select(F.col("story_id").alias("id"), "url", rank.alias("prior_rank")).distinct()
+    runs = rows.select("run").distinct()
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("run"))  # ingest batches, not data
+    halfway = F.broadcast(runs.withColumn("k", place).withColumn("n", F.count("*").over(Window.partitionBy(F.lit(0)))).filter("k = ceil(n / 2)").select(F.col("run").alias("_half")))  # one row
+    rows = rows.join(halfway).select("story_id", "url", (F.col("run") <= F.col("_half")).alias("before"))
+    return rows.filter("not before").select(F.col("story_id").alias("cluster"), "url").distinct(), rows.filter("before").select(F.col("story_id").alias("id"), "url", F.col("story_id").alias("prior_rank")).distinct()
 
 
 @query(
@@ -114,6 +119,28 @@ def run_containment(spark, folder):
     return identity.containment(*_runs(spark, folder)).select("id", "shared", "nk", F.round("containment", 6).alias("containment"))
 
 
-@query("reconcile_events")
+_RECONCILED = """
+WITH RECURSIVE r AS (SELECT * FROM evidence WHERE run IS NOT NULL AND story_id IS NOT NULL AND url IS NOT NULL), m AS (SELECT quantile_disc(run, 0.5) AS m FROM (SELECT DISTINCT run FROM r)),
+k AS (SELECT DISTINCT story_id AS id, url FROM r, m WHERE run <= m), c AS (SELECT DISTINCT story_id AS cluster, url FROM r, m WHERE run > m),
+nk AS (SELECT id, count(*) AS nk FROM k GROUP BY ALL), nc AS (SELECT cluster, count(*) AS nc FROM c GROUP BY ALL), s AS (SELECT cluster, id, count(*) AS shared FROM c JOIN k USING (url) GROUP BY ALL),
+w AS (SELECT cluster, list(id ORDER BY nk DESC, id) AS wishes FROM s JOIN nk USING (id) JOIN nc USING (cluster) WHERE shared / least(nc, nk) >= 0.5 GROUP BY cluster),
+u AS (SELECT cluster, list('s-' || sha1(url)[1:12] ORDER BY url) AS seeds, 's-' || sha1(string_agg(url, '|' ORDER BY url))[1:12] AS whole FROM c GROUP BY cluster),
+q AS (SELECT row_number() OVER (ORDER BY cluster) AS i, cluster, coalesce(wishes, []) AS wishes, seeds, whole FROM u LEFT JOIN w USING (cluster)),
+known AS (SELECT list(id) AS ids FROM nk),
+walk AS (
+  SELECT 0::BIGINT AS i, NULL::VARCHAR AS cluster, []::VARCHAR[] AS free, []::VARCHAR[] AS wishes, NULL::VARCHAR AS fresh, []::VARCHAR[] AS used, []::VARCHAR[] AS made
+  UNION ALL
+  SELECT i, cluster, free, wishes, CASE WHEN len(free) = 0 THEN fresh END, list_concat(used, free), CASE WHEN len(free) = 0 THEN list_append(made, fresh) ELSE made END FROM (
+    SELECT q.i, q.cluster, list_filter(q.wishes, lambda x: NOT list_contains(walk.used, x)) AS free, q.wishes, walk.used, walk.made,
+      coalesce(list_filter(q.seeds, lambda x: NOT list_contains(walk.made, x) AND NOT list_contains(known.ids, x))[1], q.whole) AS fresh
+    FROM walk JOIN q ON q.i = walk.i + 1 CROSS JOIN known)
+), got AS (SELECT * FROM walk WHERE i > 0)
+SELECT CASE WHEN len(free) > 1 THEN 'merged' WHEN len(free) = 1 THEN 'kept' WHEN len(wishes) > 0 THEN 'split' ELSE 'created' END AS type, coalesce(free[1], fresh) AS id, cluster,
+  array_to_string(list_sort(CASE WHEN len(free) > 0 THEN free[2:] ELSE wishes END), ',') AS sources FROM got
+UNION ALL SELECT 'dormant', id, NULL, '' FROM nk WHERE id NOT IN (SELECT unnest(free) FROM got)
+"""
+
+
+@query("reconcile_events", _RECONCILED)
 def reconcile_events(spark, folder):
-    return identity.reconcile(*_runs(spark, folder)).select("seq", "type", "id", "cluster")
+    return identity.reconcile(*_runs(spark, folder)).select("type", "id", "cluster", F.array_join("sources", ",").alias("sources"))

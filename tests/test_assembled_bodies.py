@@ -17,5 +17,5 @@ def test_all_documents_come_back(spark, tmp_path):
 def test_pieces():
     text = " ".join(map(str, range(50)))
     pieces = pieces_of(text)
-    assert [at for at, _ in pieces] == list(range(8)) and assemble(pieces) == text
+    assert [at for at, _ in pieces] == list(range(8)) and assemble([(*p, 1) for p in pieces]) == text
     assert pieces_of("one two three") == [(0, "one two three")]

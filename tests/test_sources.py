@@ -88,7 +88,6 @@ def test_assembly(spark):
     random.Random(1).shuffle(pieces)
     df = spark.createDataFrame(pieces + [("v", 0, "alone")], "url string, pos int, text string")
     assert {tuple(r) for r in assemble.assembled(df).collect()} == {("u", " ".join(words[:39])), ("v", "alone")}
-    assert assemble.overlap(["a", "b"], ["b", "c"]) == 1 and assemble.overlap(["a"], ["b"]) == 0
     stamps = spark.createDataFrame([("20260301105900",), ("2026-03-01T10:00:00",)], "stamp string")
     assert sorted(r["minute"] for r in assemble.minutes(stamps).collect()) == ["202603011000", "202603011001", "202603011058", "202603011059"]
 
