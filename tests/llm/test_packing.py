@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from parallax.llm.packing import container_report, difference, fill_containers, pack
+from parallax.llm.packing import container_report, difference, exchange, fill_containers, pack
 
 
 def test_differencing_by_hand():
@@ -17,7 +17,8 @@ def test_differencing_by_hand():
 def test_near_the_bound(capacity):
     rng = np.random.default_rng(0)
     sizes = np.minimum(np.exp(rng.normal(5.8, 0.9, 4000)).astype(int) + 1, capacity)
-    window = pack(sizes, capacity)
+    window, made = pack(sizes, capacity)
+    assert made.all()
     sums = np.bincount(window, weights=sizes)
     assert sums.max() <= capacity and sums.min() > 0
     least = max(-(-sizes.sum() // capacity), (2 * sizes > capacity).sum())
@@ -25,10 +26,36 @@ def test_near_the_bound(capacity):
 
 
 def test_ties_and_edges():
-    assert len(pack(np.array([], np.int64), 10)) == 0
-    assert len(set(pack(np.full(10, 5), 10))) == 5
-    assert len(set(pack(np.full(7, 10), 10))) == 7
-    assert len(set(pack(np.full(9, 6), 10))) == 9
+    assert len(pack(np.array([], np.int64), 10)[0]) == 0
+    for sizes, windows in ((np.full(10, 5), 5), (np.full(7, 10), 7), (np.full(9, 6), 9)):
+        assert len(set(pack(sizes, 10)[0])) == windows
+
+
+def test_small_items_fill_large_containers(spark):
+    """Blocks are sized by containers as well as by items."""
+    sized = spark.range(70_000).selectExpr("id as doc_id", "cast(20 + pmod(xxhash64(id), 61) as int) as n_tokens")
+    budgets = spark.createDataFrame([("wide", 16_384)], "budget string, capacity int")
+    report = container_report(fill_containers(sized, budgets), budgets).first()
+    assert report["fill"] > 0.99 and report["differencing"] == report["containers"]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_exchange_only_helps(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.sort(rng.integers(1, 60, 80))
+    window = rng.integers(0, 20, 80)
+    before = np.bincount(window, sizes, minlength=20)
+    sums = exchange(sizes, window, 20, 130)
+    assert (np.bincount(window, sizes, minlength=20) == sums).all() and sums.sum() == sizes.sum()
+    assert (np.maximum(sums - 130, 0) ** 2).sum() <= (np.maximum(before - 130, 0) ** 2).sum()
+
+
+def test_best_fit_where_differencing_is_poor():
+    """Windows of one large and one small item: differencing alone would need more of them."""
+    sizes = np.array([90] * 40 + [80] * 40 + [10] * 40 + [20] * 40 + [34, 33, 33] * 20)
+    window, made = pack(sizes, 100)
+    assert np.bincount(window, sizes).max() <= 100 and len(set(window)) <= 101
+    assert made.all() or not made.any()
 
 
 def test_rows(spark):
