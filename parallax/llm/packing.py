@@ -27,7 +27,7 @@ from parallax.functions.lineage import cut
 #: Items of a block, and containers that its items fill, at least.
 BLOCK, WINDOWS = 3000, 128
 #: Share of windows that differencing may need more than best fit.
-SPARE = 0.005
+SPARE = 0.01
 
 
 def difference(sizes: np.ndarray, windows: int) -> list[list[int]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parallax.functions.lineage import cut
 from parallax.llm import dictionary_dedup, frequency, history_dedup, language_crf, lookalikes, mixing, packing, quality, tokens
 
 
@@ -68,12 +69,27 @@ def _sized(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_sizes(_table(spark, folder, "documents"), keep=("doc_id", "source"))
 
 
+def _mixed(spark: SparkSession, folder: str, total) -> tuple[DataFrame, DataFrame]:
+    sizes, targets = cut(_sized(spark, folder), "sizes"), _table(spark, folder, "mix_target")
+    return mixing.draw(sizes, targets, total(sizes, targets))
+
+
 def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.draw(_sized(spark, folder), _table(spark, folder, "mix_target"))[0]
+    """A mixture as large as the documents: sources with too little fall short."""
+    return _mixed(spark, folder, mixing.corpus_total)[0]
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.draw(_sized(spark, folder), _table(spark, folder, "mix_target"))[1]
+    return _mixed(spark, folder, mixing.corpus_total)[1]
+
+
+def p9_balanced(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest mixture in which every source with documents reaches its share."""
+    return _mixed(spark, folder, mixing.reachable_total)[0]
+
+
+def p9_balanced_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixed(spark, folder, mixing.reachable_total)[1]
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,7 +100,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_quality(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p2_found, p2_segments, p5_found, p6_found, p6_canonical, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p2_found, p2_segments, p5_found, p6_found, p6_canonical, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p9_balanced, p9_balanced_shares, p10_found, p10_statistics)}
 
 # Greek final sigma and the dotted capital I are lowered as Unicode has it.
 _TERMS = """

@@ -1,6 +1,6 @@
 import random
 
-from parallax.llm.mixing import draw
+from parallax.llm.mixing import corpus_total, draw, reachable_total
 
 
 def test_shares_and_caps(spark):
@@ -9,7 +9,7 @@ def test_shares_and_caps(spark):
     docs += [(90_000, None, 50), (90_001, "other", 50), (90_002, "a", 0), (90_003, "a", None)]
     df = spark.createDataFrame(docs, "doc_id long, source string, n_tokens int").selectExpr("*", "1 as slot", "2 as repeat", "3 as size", "4 as id", "5 as rank", "6 as at").repartition(4)
     targets = spark.createDataFrame([("a", 0.2, 2), ("b", 0.5, 3), ("c", 0.2, None), ("empty", 0.1, 4), (None, 0.0, 1)], "source string, target_share double, max_repeats int")
-    mixture, shares = draw(df, targets, block=256)
+    mixture, shares = draw(df, targets, reachable_total(df, targets), block=256)
     rows = mixture.collect()
     size = {i: n for i, _, n in docs}
     home = {i: s for i, s, _ in docs}
@@ -40,5 +40,26 @@ def test_total_beyond_supply_and_empty(spark):
     _, shares = draw(df, targets, total=5000, block=64)
     got = {r["source"]: r["drawn_tokens"] for r in shares.collect()}
     assert got["a"] == 1000 and abs(got["b"] - 500) <= 10
-    mixture, shares = draw(df.limit(0), targets)
+    mixture, shares = draw(df.limit(0), targets, reachable_total(df.limit(0), targets))
     assert mixture.count() == 0 and {r["actual_share"] for r in shares.collect()} == {0.0}
+
+
+def test_short_sources_fall_short(spark):
+    """The total is that of the documents: scarce sources give all they may, none goes beyond its part, gaps are filled."""
+    rng = random.Random(5)
+    docs = [(i, "big", rng.choice([3, 50, 900, 5000])) for i in range(900)] + [(1000 + i, "small", 40) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, n_tokens int").repartition(3)
+    targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.4, 2)], "source string, target_share double, max_repeats int")
+    total = corpus_total(df, targets)
+    assert total == sum(n for _, _, n in docs)
+    mixture, shares = draw(df, targets, total, block=128)
+    told = {r["source"]: r for r in shares.collect()}
+    assert told["small"]["drawn_tokens"] == 1600 and told["small"]["actual_share"] < 0.01 and told["small"]["most_repeats"] == 2
+    rows = mixture.collect()
+    big = [r for r in rows if r["source"] == "big"]
+    left = told["big"]["wanted"] - told["big"]["drawn_tokens"]
+    assert 0 <= left < 3 or {r["doc_id"] for r in big} >= {i for i, s, n in docs if s == "big" and n <= left}
+    assert len(rows) == len({(r["doc_id"], r["repeat"]) for r in rows})
+    # the scarce source is spread over the whole schedule
+    last = max(r["slot"] for r in rows)
+    assert sum(r["slot"] > last / 2 for r in rows if r["source"] == "small") >= 10
