@@ -1,9 +1,10 @@
 """Per-document text quality statistics (problem 10).
 
 Statistics of every document come from one pass over its whole text. Gradient-boosted trees on these statistics tell running
-prose from lists, tables and junk: they are trained on documents that weak rules label (most of the text in sentences, or
-hardly any), on a bounded sample of SAMPLE documents, and their scores are calibrated on the hand-checked texts of
-quality_holdout.
+prose from lists, tables and junk. They are trained on documents that several weak sources label (page structure, function
+words, the rhythm of sentences, marks and digits, repeats, damaged characters), each of which may abstain; where they
+disagree, a document has no label. The training set is a bounded sample of SAMPLE documents; scores are calibrated on
+hand-checked documents (quality_holdout), which the trees never see.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from parallax.functions.lineage import cut, spread
 from parallax.functions.sampling import bounded_sample
-from parallax.llm.quality_holdout import HOLDOUT
+from parallax.llm.quality_holdout import marked
 
 #: Documents that the trees are trained on, at most; the sample is the same in every run.
 SAMPLE = 4000
@@ -46,14 +47,18 @@ COMMON = frozenset(
 WORD = re.compile(r"[^\W\d_㐀-鿿]+|[㐀-鿿]")
 #: The end of a sentence, with closing quotes.
 END = re.compile(r"[.!?…؟]+[\"'»”’)\]]*(?=\s|$)|[。！？]+[\"'」』”’）]*")
-#: Marks that running prose hardly has.
-ODD = re.compile(r"[|<>{}=\[\]\\#*;_~^@$%+/•·�]|\d\d|[ÃÂ][\x80-¿]|ï¿½|â[‚€]")
-#: A list item's marker.
-ITEM = re.compile(r"\(?[\w]{1,3}[).:]\s|[-–—•*·o]\s")
-LETTER = re.compile(r"[^\W\d_]")
+#: Where a stretch of text ends, whatever kind of text it is.
+STOPS = str.maketrans({c: "\n" for c in ".!?…؟。！？;；"})
+#: A list item's marker; what stands between the cells of a table's line; characters that a wrong decoding leaves; ideographs.
+ITEM = re.compile(r"\(?\w{1,3}[).:]\s|[-–—•*·>]\s")
+CELL = re.compile(r"[\t|;；]|</?t[dr]>|,(?=\S)| {3,}|\S=\S")
+DAMAGE = re.compile("[ÃÂ][\x80-\xbf]|ï¿½|â[‚€]|\ufffd")
+SIGN = re.compile("[㐀-鿿]")
+CLOSERS, ENDS = "\"'»”’)]」』）", ".!?…؟。！？"
 STATISTICS = (
-    "n_chars", "n_words", "mean_word_length", "max_word_length", "letter_ratio", "digit_ratio", "symbol_ratio", "space_ratio", "upper_ratio", "n_lines",
-    "mean_line_length", "short_line_share", "punctuated_line_share", "repeated_line_share", "common_word_share", "distinct_word_share", "sentences", "prose_share",
+    "n_chars", "n_words", "mean_word_length", "max_word_length", "letter_ratio", "digit_ratio", "symbol_ratio", "space_ratio", "upper_ratio", "n_lines", "mean_line_length",
+    "short_line_share", "punctuated_line_share", "repeated_line_share", "item_line_share", "cell_line_share", "ragged_line_share", "common_word_share", "distinct_word_share",
+    "ideograph_share", "sentence_end_rate", "common_word_gap", "stretch_words", "long_stretch_share", "damage_ratio",
 )
 
 
@@ -66,69 +71,41 @@ def _classes() -> np.ndarray:
     return table
 
 
-def _rows(text: str) -> list[str]:
-    """Lines without outer space; lines that a fixed width broke are joined."""
-    out: list[str] = []
-    last = False
-    for line in text.split("\n"):
-        line = line.strip()
-        if not line:
-            last = False
-            continue
-        wide = bool(last) and LETTER.match(line) is not None
-        if wide and (len(out[-1]) >= 45 or (len(out[-1]) >= 20 and out[-1][-1] >= "㐀")) and last_width >= (20 if out[-1][-1] >= "㐀" else 45):
-            joint = "" if out[-1][-1] >= "㐀" else " "
-            out[-1] = out[-1] + joint + line
-        else:
-            out.append(line)
-        last_width = len(line)
-        found = None
-        for found in END.finditer(line, max(0, len(line) - 8)):
-            pass
-        last = not (found and found.end() == len(line))
-    return out
-
-
 def statistics(text: str, table: np.ndarray) -> list[float]:
-    """The numbers of STATISTICS for a text."""
+    """The numbers of STATISTICS for a text.
+
+    item lines begin with a list marker (two at least), cell lines hold two separators of cells, ragged lines are short
+    and don't end like a sentence. A stretch lies between stops of any kind; stretch_words is the length of the one that
+    a word is in, on average, and common_word_gap the like distance between common words. Two ideographs count as a word
+    of a stretch.
+    """
     n = len(text)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     kinds = np.bincount(table[np.minimum(points, 65535)], minlength=6) / max(1, n)
-    lines = [x for x in (y.strip() for y in text.split("\n")) if x]
-    punctuated = 0
+    lines = [x for x in map(str.strip, text.split("\n")) if x]
+    short = punctuated = items = cells = ragged = chars = 0
     for x in lines:
-        tail = x.rstrip("\"'»”’)]」』）")
-        punctuated += bool(tail) and tail[-1] in ".!?…؟。！？"
-    lowered = text.lower()
-    words = WORD.findall(lowered)
-    lengths = [len(w) for w in words]
-    common = sum(w in COMMON for w in words)
-    prose = counted = sentences = 0
-    for row in _rows(text):
-        at = 0
-        if len(row) < 60 and ITEM.match(row):
-            counted += len(row)
-            continue
-        for end in END.finditer(row):
-            part = row[at : end.end()]
-            at = end.end()
-            counted += len(part)
-            own = WORD.findall(part.lower())
-            few, share = (6, 0.04) if own and own[0] >= "㐀" else (4, 0.1)
-            if len(own) >= few and sum(w in COMMON for w in own) >= share * len(own) and len(ODD.findall(part)) <= 0.02 * len(part):
-                prose += len(part)
-                sentences += 1
-        rest = row[at:].strip()
-        if rest:
-            own = WORD.findall(rest.lower())
-            # a headline is neither prose nor a list
-            if not (len(own) >= 8 and sum(w in COMMON for w in own) >= 0.2 * len(own) and not ODD.search(rest)):
-                counted += len(rest)
-    k = max(1, len(lines))
+        chars += len(x)
+        tail = x.rstrip(CLOSERS)[-1:]
+        ends = tail != "" and tail in ENDS
+        brief = len(x) < 45 and (len(x) < 18 or tail < "㐀")
+        short += brief
+        punctuated += ends
+        ragged += brief and not ends
+        items += ITEM.match(x) is not None
+        cells += len(CELL.findall(x)) >= 2
+    words = WORD.findall(text.lower())
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    common = np.flatnonzero(np.fromiter(map(COMMON.__contains__, words), bool, len(words)))
+    gaps = np.diff(common, prepend=-1, append=len(words)).astype(float)
+    stretches = np.array([x.count(" ") + 1 if x[-1] < "㐀" else len(x) // 2 for x in map(str.strip, text.translate(STOPS).split("\n")) if x], float)
+    plain = text.isascii()
+    k, w, s = max(1, len(lines)), max(1, len(words)), max(1.0, stretches.sum())
     return [
-        n, len(words), sum(lengths) / max(1, len(words)), max(lengths, default=0), kinds[1] + kinds[2], kinds[3], kinds[5], kinds[4], kinds[2], len(lines),
-        sum(map(len, lines)) / k, sum(len(x) < 30 for x in lines) / k, punctuated / k, 1 - len(set(lines)) / k, common / max(1, len(words)), len(set(words)) / max(1, len(words)), sentences,
-        prose / counted if counted else (1.0 if n and lines else 0.0),
+        n, len(words), lengths.sum() / w, lengths.max(initial=0), kinds[1] + kinds[2], kinds[3], kinds[5], kinds[4], kinds[2], len(lines), chars / k,
+        short / k, punctuated / k, 1 - len(set(lines)) / k if lines else 0.0, (items if items > 1 else 0) / k, cells / k, ragged / k, len(common) / w, len(set(words)) / w,
+        0.0 if plain else len(SIGN.findall(text)) / w, len(END.findall(text)) / w, (gaps**2).sum() / max(1.0, gaps.sum()), (stretches**2).sum() / s, stretches[stretches >= 7].sum() / s,
+        0.0 if plain else len(DAMAGE.findall(text)) / max(1, n),
     ]
 
 
@@ -153,7 +130,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 class BoostedTrees:
     """Gradient-boosted regression trees for a yes-no label under logistic loss, on binned features."""
 
-    def __init__(self, trees: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 64, least: int = 8, ridge: float = 1.0):
+    def __init__(self, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, least: int = 8, ridge: float = 1.0):
         self.trees, self.depth, self.rate, self.bins, self.least, self.ridge = trees, depth, rate, bins, least, ridge
         self.base, self.nodes = 0.0, []
 
@@ -220,46 +197,73 @@ class BoostedTrees:
         return out
 
 
-def weak_label(x: np.ndarray) -> np.ndarray:
-    """1 for structural junk, 0 for prose, -1 where the rules don't say."""
+def weak_votes(x: np.ndarray) -> np.ndarray:
+    """What each weak source says of each document: 1 junk, -1 prose, 0 nothing. Sources know nothing of each other."""
     col = {c: x[:, i] for i, c in enumerate(STATISTICS)}
-    junk = (col["prose_share"] < 0.48) | (col["n_words"] < 2)
-    prose = (col["prose_share"] > 0.52) & (col["common_word_share"] > 0.05)
-    return np.where(junk, 1, np.where(prose, 0, -1))
+    signs = col["ideograph_share"] > 0.5
+    structure = np.maximum(np.maximum(col["item_line_share"], col["cell_line_share"]), col["ragged_line_share"])
+    common, rhythm, marks = col["common_word_share"], col["sentence_end_rate"], col["digit_ratio"] + col["symbol_ratio"]
+    never = np.zeros(len(x), bool)
+    told = [
+        (structure > 0.5, structure < 0.15),
+        (common < np.where(signs, 0.07, 0.13), common > np.where(signs, 0.12, 0.24)),
+        (rhythm < np.where(signs, 0.008, 0.012), (rhythm > np.where(signs, 0.018, 0.025)) & (rhythm < np.where(signs, 0.1, 0.16))),
+        (marks > 0.12, marks < 0.06),
+        (col["long_stretch_share"] < 0.4, (col["long_stretch_share"] > 0.8) & (col["stretch_words"] < 45)),
+        (col["repeated_line_share"] > 0.4, never),
+        (col["n_words"] < 5, never),
+    ]
+    return np.stack([*[np.where(junk, 1, np.where(prose, -1, 0)) for junk, prose in told], np.where(col["damage_ratio"] > 0.01, 3, 0)], 1)
 
 
-def holdout_statistics() -> tuple[np.ndarray, np.ndarray]:
+def weak_label(x: np.ndarray) -> np.ndarray:
+    """1 for structural junk, 0 for prose, -1 where the sources don't agree by two votes."""
+    votes = weak_votes(x).sum(1)
+    return np.where(votes >= 2, 1, np.where(votes <= -2, 0, -1))
+
+
+def marked_statistics(part: str) -> tuple[np.ndarray, np.ndarray]:
+    """(statistics, marks) of the hand-checked documents of a part."""
     table = _classes()
-    return np.array([statistics(t, table) for t, _ in HOLDOUT]), np.array([y for _, y in HOLDOUT])
+    texts, marks = marked(part)
+    return np.array([statistics(t, table) for t in texts], np.float64), np.array(marks)
 
 
 def train(x: np.ndarray) -> tuple[BoostedTrees, float, float]:
-    """Trees from weakly labelled statistics, and the slope and offset that calibrate them on the hand-checked texts."""
+    """Trees from weakly labelled statistics, and the slope and offset that calibrate them on hand-checked documents.
+
+    The base documents join whatever is given, so that both classes occur however few the documents are.
+    """
+    x = np.concatenate([marked_statistics("base")[0], x])
     y = weak_label(x)
-    held, truth = holdout_statistics()
-    known = y >= 0
-    if known.sum() < 200 or len(set(y[known])) < 2:  # too few documents: the hand-checked texts have to do
-        x, y, known = np.concatenate([x, *[held] * 4]), np.concatenate([y, *[truth] * 4]), np.concatenate([known, np.ones(4 * len(truth), bool)])
-    model = BoostedTrees().fit(x[known], y[known].astype(float))
+    model = BoostedTrees().fit(x[y >= 0], y[y >= 0].astype(float))
+    held, truth = marked_statistics("calibration")
     score = model.score(held)
     # Platt scaling with its softened targets
     goal = np.where(truth == 1, (truth.sum() + 1) / (truth.sum() + 2), 1 / (len(truth) - truth.sum() + 2))
-    a, b = 1.0, 0.0
-    for _ in range(200):  # a prior of slope 1 keeps separable scores finite
-        p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
-        w = p * (1 - p)
-        gradient = np.array([((goal - p) * score).sum() + (1 - a), (goal - p).sum() - 0.01 * b])
-        hessian = np.array([[(w * score * score).sum() + 1, (w * score).sum()], [(w * score).sum(), w.sum() + 0.01]])
-        step = np.linalg.solve(hessian, gradient)
-        a, b = a + step[0] / 2, b + step[1] / 2
+    at = np.array([1.0, 0.0])
+    design = np.stack([score, np.ones(len(score))], 1)
+
+    def loss(w: np.ndarray) -> float:  # with a prior of slope 1 and offset 0, which keeps separable scores finite
+        z = design @ w
+        return float((np.logaddexp(0, z) - goal * z).sum() + ((w - [1, 0]) ** 2).sum() / 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ at, -30, 30)))
+        gradient = design.T @ (p - goal) + at - [1, 0]
+        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + np.eye(2), gradient)
+        while loss(at - step) > loss(at) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        at = at - step
+    a, b = at
     return model, float(a), float(b)
 
 
 def text_quality(df: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """text_statistics with junk_probability: how likely most of the text is a list, a table or junk.
 
-    The trees see the statistics of at most `sample` documents, chosen by a hash of the id; every document is scored.
-    With few documents the hand-checked texts join the training. Empty tables give an empty result.
+    The trees see the statistics of at most `sample` documents, chosen by a hash of the id, and of the base documents; every
+    document is scored. Empty tables give an empty result.
     """
     stats = cut(text_statistics(df, id_col, text), "statistics")
     drawn = bounded_sample(stats, id_col, sample).select(*STATISTICS).toPandas()

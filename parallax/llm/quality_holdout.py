@@ -1,37 +1,17 @@
-"""Hand-checked texts: 1 for a list, a table or junk, 0 for running prose."""
+"""Documents read and marked by hand: 1 for a list, a table or junk, 0 for running prose.
 
-_PROSE = [
-    "The bakery on the corner opened again after the flood. Most of its ovens had to be replaced, and the owner said that the neighbours paid for two of them.",
-    "New bridge opens\n\nThe new bridge was opened on Sunday. It is the third on this river, and it took nine years to build. Some still take the ferry.",
-    "Nobody knew why the lights went out. An engineer who was asked said that a cable had been cut\nby accident and that it would take until the evening to repair it. The shops closed early.",
-    "Der Markt bleibt in diesem Jahr geschlossen. Die Händler sind mit der neuen Ordnung nicht zufrieden, und auch die Stadt will noch einmal verhandeln.",
-    "Le marché reste fermé cette année. Les commerçants ne sont pas satisfaits du nouveau règlement et la ville veut encore négocier avec eux.",
-    "El mercado sigue cerrado este año. Los vendedores no están conformes con la nueva norma, y el concejo quiere volver a negociar con ellos.",
-    "Рынок в этом году останется закрытым. Торговцы не согласны с новыми правилами, и город хочет ещё раз поговорить с ними.",
-    "今年市场不开放。商人对新的规定不满意，市里还要再和他们谈一次。大家都在等结果。",
-    "\"We will wait,\" the captain said. \"The sea is too rough for a boat of this size!\" He had seen worse, but not with so many people on board.\n\n- life vests\n- water",
-    "Read more\nThe school will get a new roof before the winter. Parents had asked for it for years, and the council has now found the money.\nShare",
-    "Pazar bu yıl kapalı kalacak. Esnaf yeni kuraldan memnun değil ve belediye onlarla bir daha konuşmak istiyor. Sonuç için daha çok beklenecek.",
-    "السوق مغلق هذا العام. التجار لا يقبلون القانون الجديد، وتريد المدينة أن تتحدث معهم من جديد بعد أيام.",
-]
-_JUNK = [
-    "- apples\n- pears\n- plums\n- cherries\n- figs\n- dates\n- quinces",
-    "1. Harbour 12\n2. Mill 44\n3. Bakery 9\n4. School 71\n5. Depot 18",
-    "| town | rain | wind |\n| --- | --- | --- |\n| North | 12 | 4 |\n| South | 9 | - |\n| West | 77% | 3.5 |",
-    "town\train\twind\nNorth\t12\t4\nSouth\t9\t-\nWest\t77%\t3.5\nEast\t6\t8.1",
-    "North,12,4,7.5\nSouth,9,-,8\nWest,77%,3.5,1\nEast,6,8.1,2\nCentre,4,4,4",
-    "The results came in on Friday.\nNorth;12;4;7.5\nSouth;9;-;8\nWest;77;3.5;1\nEast;6;8.1;2\nCentre;4;4;4\nRiver;3;3;1\nHill;8;2;2\nDale;5;5;5",
-    "08:10 Harbour 3\n08:25 Mill 4\n08:40 Bakery\n09:05 School\n09:20 Depot 2\n09:45 Harbour",
-    "kq zrtp wvvn xxkd plmq rrtz bbnq wqzx ttkp llmn zzrq pqwv nnbk xkcd",
-    "{*[;%^~|}<>=+@#$&_/\\|}{[]~^%*;=+<>@#&$_|{}",
-    "read more\nread more\nread more\nread more\nread more",
-    "var a=function(x){return x.b||1};\nif(!c){window.d=[];}\nvar e=4;",
-    "2024-01-01 INFO start code=4\n2024-01-01 WARN slow code=9\n2024-01-01 INFO stop code=0",
-    "cheap watch free stream live online best price hd download 2024 app sale watch free",
-    "aGVsbG8gd29ybGQgdGhpcyBpcyBub3QgcHJvc2UgYXQgYWxsIGJ1dCBlbmNvZGVkIGJ5dGVz",
-    "%%BODY%%",
-    ".",
-    "<td>North</td><td>12</td><td>-</td>\n<td>South</td><td>9</td><td>4</td>\n<td>West</td><td>7</td><td>1</td>",
-    "Harbour board, North; Mill owners, South; Bakery 12; School heads, West; Depot 7; Ferry crews, East",
-]
-HOLDOUT = [(t, 0) for t in _PROSE] + [(t, 1) for t in _JUNK]
+They are whole texts as they come in test tables, none written for the purpose, in three parts of equal make-up: base
+(which always joins the training, with weak labels), calibration and test.
+"""
+
+import json
+from functools import cache
+from pathlib import Path
+
+
+@cache
+def marked(part: str) -> tuple[tuple[str, ...], tuple[int, ...]]:
+    """(texts, marks) of a part."""
+    with open(Path(__file__).with_suffix(".jsonl"), encoding="utf-8") as lines:
+        rows = [r for r in map(json.loads, lines) if r["part"] == part]
+    return tuple(r["text"] for r in rows), tuple(r["junk"] for r in rows)
