@@ -1,9 +1,10 @@
 """Rows that fail to parse (problem 3): the knowledge-graph feed read with reject tables on the workers.
 
 Each batch of lines becomes scratch files of its task, which DuckDB reads as CSV with a reject table per file: one of the
-lines in which some field begins with a quote, one of the others. A quote that never closes swallows lines after its own;
-those are read again without it, and lines whose quotes are at fault in a file of their own. The line-level errors are
-joined to the raw lines, and the typed values of the lines that parse are checked in the same query.
+lines in which some field begins with a quote, one of the others. A quote that never closes swallows lines after its own
+and blames the wrong one; so the lines of the first file that don't come through are read again, all in one call, each as a
+file of its own. The line-level errors are joined to the raw lines, and the typed values of the lines that parse are checked
+in the same query.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +26,13 @@ from parallax.functions.lineage import spread
 WIDTH = 27
 #: Field numbers of the feed that are kept.
 FIELDS = {"url": 4, "locations": 9, "persons": 11, "organisations": 13, "names": 23}
-#: Characters that a line may hold and a CSV line may not, and what stands for them meanwhile.
-HELD = {"\n": "\ue00a", "\r": "\ue00d", "\0": "\ue000"}
+#: Characters that a line may hold and a CSV line may not.
+HELD = "\n\r\0"
+#: What ends a file of one line: a quote left open ends here and is told, at the end of the file it might not be.
+GUARD = 'x"x'
 QUOTED = re.compile(r'(?:^|\t)"')
-#: Lines of a batch.
-BATCH = 5000
+#: Lines of a batch, and of a call that reads them apart.
+BATCH, APART = 5000, 1000
 
 URL = r"(?i)https?://(?:[^\s\p{Z}/?#@]*@)?[^\s\p{Z}/?#:@]+(?::\d*)?(?:[/?#][^\s\p{Z}]*)?"
 PLACE = r"[1-5]#[^#]*[^#\s][^#]*#[^#]*#[^#]*#(-?\d+(?:\.\d+)?)?#(-?\d+(?:\.\d+)?)?#[^#]*"
@@ -49,61 +53,73 @@ WHERE p.n IS NOT NULL OR e.n IS NOT NULL
 """
 
 
-def _read(connection, folder: str, lines: list[str], at: list[int]) -> pa.Table:
-    """Reason and values of the lines that came through: (n, reason, url, locations, persons, organisations, names)."""
+def _write(path: str, lines: list[str]) -> None:
+    with open(path, "w", encoding="utf-8", newline="") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+def _read(connection, folder: str, lines: list[str], at: list[int], apart: bool) -> pa.Table:
+    """Reason and values of the lines that came through: (n, reason, url, locations, persons, organisations, names).
+
+    The lines are read from one file, or each from a file of its own.
+    """
     numbered = [f"{n}\t{line}\t." for n, line in zip(at, lines)]  # the last field is never empty: an empty one too many is ignored
-    room = max(2_097_152, 2 * max(len(x.encode()) for x in numbered))
-    handle, path = tempfile.mkstemp(dir=folder)
-    with open(handle, "w", encoding="utf-8", newline="") as out:
-        out.write("\n".join(numbered) + "\n")
+    room = max(65_536, 2 * max(len(x.encode()) for x in numbered))
+    paths = [f"{folder}/{n}" for n in at] if apart else [f"{folder}/lines"]
+    for path, own in zip(paths, ([x, GUARD] for x in numbered)) if apart else [(paths[0], numbered)]:
+        _write(path, own)
     columns = ", ".join(["'n': 'VARCHAR'", *[f"'f{i}': 'VARCHAR'" for i in range(WIDTH)], "'last': 'VARCHAR'"])
     connection.execute("DROP TABLE IF EXISTS reject_errors; DROP TABLE IF EXISTS reject_scans")
     connection.execute(
-        f"CREATE OR REPLACE TEMP TABLE parsed AS SELECT * FROM read_csv('{path}', delim='\t', quote='\"', escape='\"', header=false, auto_detect=false, "
+        f"CREATE OR REPLACE TEMP TABLE parsed AS SELECT * FROM read_csv({paths!r}, delim='\t', quote='\"', escape='\"', header=false, auto_detect=false, "
         f"strict_mode=true, null_padding=false, new_line='\\n', comment='', store_rejects=true, rejects_limit=0, max_line_size={room}, buffer_size={4 * room}, columns={{{columns}}})"
     )
-    # a line break inside a record means that its own line left a quote open; some errors don't say which line they are of
-    number = "TRY_CAST(split_part(csv_line, '\t', 1) AS BIGINT)" if len(at) > 1 else str(at[0])
+    # a line break inside a record means that its own line left a quote open; of a file of its own only the first line counts
+    number, where = "split_part(csv_line, '\t', 1)", "true"
+    if apart:
+        number, where = "split_part(file_path, '/', -1)", "line = 1"
     every = ", ".join(f"f{i}" for i in range(WIDTH))
     connection.execute(
-        f"CREATE OR REPLACE TEMP TABLE errors AS SELECT {number} AS n, error_type = 'UNQUOTED VALUE' OR contains(rtrim(csv_line, chr(10)), chr(10)) AS quote "
-        f"FROM reject_errors UNION ALL SELECT TRY_CAST(n AS BIGINT), true FROM parsed WHERE contains(concat_ws(' ', {every}), chr(10))"
+        f"CREATE OR REPLACE TEMP TABLE errors AS SELECT TRY_CAST({number} AS BIGINT) AS n, error_type = 'UNQUOTED VALUE' OR contains(rtrim(csv_line, chr(10)), chr(10)) AS quote "
+        f"FROM reject_errors JOIN reject_scans USING (scan_id, file_id) WHERE {where} UNION ALL SELECT TRY_CAST(n AS BIGINT), true FROM parsed WHERE contains(concat_ws(' ', {every}), chr(10))"
     )
     connection.register("wanted", pa.table({"n": pa.array(at, pa.int64())}))
     found = connection.sql(_CHECK).to_arrow_table()
     connection.unregister("wanted")
-    os.remove(path)
+    for path in paths:
+        os.remove(path)
     return found
 
 
-def _read_all(connection, folder: str, known: list[str], at: list[int], quoted: bool) -> list[pa.Table]:
-    """_read of all lines; of those with quotes, lines that don't parse are read alone.
-
-    Beside an open quote an error may be told of the wrong line. So in a file of lines with quotes only the lines that
-    parse are taken, those with errors are read alone, and the rest again while that helps.
-    """
-    parts, alone = [], []
-    while at:
-        found = _read(connection, folder, [known[i] for i in at], at)
-        done = found.column("n").to_pylist()
-        if quoted:
-            bad = {i for i, r in zip(done, found.column("reason").to_pylist()) if r in ("quote", "width")}
-            found = found.filter(pa.array([i not in bad for i in done], pa.bool_()))
-            alone += sorted(bad)
-            done = [i for i in done if i not in bad]
+def _read_all(connection, folder: str, known: list[str], plain: list[int], quoted: list[int]) -> list[pa.Table]:
+    """_read of all lines; those with quotes that don't parse, or whose fate is not told, are read apart."""
+    parts = [_read(connection, folder, [known[i] for i in plain], plain, False)] if plain else []
+    if quoted:
+        found = _read(connection, folder, [known[i] for i in quoted], quoted, False)
+        sound = pa.compute.invert(pa.compute.fill_null(pa.compute.is_in(found.column("reason"), pa.array(["quote", "width"])), False))
+        found = found.filter(sound)
         parts.append(found)
-        over = {*done, *alone}
-        at = [i for i in at if i not in over]
-        if not done:
-            alone += at
-            break
-    return parts + [_read(connection, folder, [known[i]], [i]) for i in alone]
+        over = set(found.column("n").to_pylist())
+        left = [i for i in quoted if i not in over]
+        parts += [_read(connection, folder, [known[i] for i in left[k : k + APART]], left[k : k + APART], True) for k in range(0, len(left), APART)]
+    return parts
+
+
+def _stand_ins(lines: list[str]) -> dict[str, str]:
+    """For each of HELD that occurs a character of the private areas that no line has."""
+    held = [c for c in HELD if any(c in x for x in lines)]
+    if not held:
+        return {}
+    used = set().union(*lines)
+    free = (c for c in map(chr, (*range(0xE000, 0xF900), *range(0xF0000, 0x110000))) if c not in used)
+    return {c: next(free) for c in held}
 
 
 def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import duckdb
 
-    folder = tempfile.mkdtemp(prefix="rejects-")  # scratch of this task only
+    scratch = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+    folder = tempfile.mkdtemp(prefix="rejects-", dir=scratch)  # of this task only, in the executor's scratch space
     connection = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": folder})
     try:
         for whole in batches:
@@ -111,17 +127,17 @@ def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch = whole.slice(start, BATCH)
                 lines = batch.column(batch.num_columns - 1).to_pylist()
                 known = [x or "" for x in lines]
-                for a, b in HELD.items():
+                stands = _stand_ins(known)
+                for a, b in stands.items():
                     known = [x.replace(a, b) if a in x else x for x in known]
-                plain = [i for i, x in enumerate(known) if not QUOTED.search(x)]
-                quoted = [i for i, x in enumerate(known) if QUOTED.search(x)]
-                parts = _read_all(connection, folder, known, plain, False) + _read_all(connection, folder, known, quoted, True)
+                kinds = [QUOTED.search(x) is not None for x in known]
+                parts = _read_all(connection, folder, known, [i for i, k in enumerate(kinds) if not k], [i for i, k in enumerate(kinds) if k])
                 found = pa.concat_tables(parts).sort_by("n")
                 columns = [batch.column(i) for i in range(batch.num_columns)]
                 for c in ("reason", *FIELDS):
                     values = found.column(c).to_pylist()
                     if c != "reason":
-                        for a, b in HELD.items():
+                        for a, b in stands.items():
                             values = [x.replace(b, a) if x and b in x else x for x in values]
                     columns.append(pa.array(values, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "reason", *FIELDS])

@@ -98,6 +98,33 @@ def test_like_plain_reading(spark, seed):
         assert (r["url"], r["locations"], r["persons"], r["organisations"], r["names"]) == (f[4], f[9], f[11], f[13], f[23])
 
 
+def test_characters_that_stand_for_others(spark):
+    """Private-use characters of a line come out as they went in, beside lines with line breaks, returns and NULs."""
+    odd = ["\ue000", "\ue001", "\ue00a\ue00d", "\n", "\r", "\0", '"q\n\ue000"', "\U000f0000"]
+    lines = []
+    for value in odd:
+        f = ["x"] * 27
+        f[4], f[9], f[23], f[11] = "https://a.test/x", "", "", value
+        lines.append("\t".join(f))
+    df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string").selectExpr("*", "'s' as slot", "'f' as feed").coalesce(1)
+    sound, rejected = read_feed(df)
+    assert rejected.count() == 0
+    assert {r["line_id"]: r["persons"] for r in sound.collect()} == {i: v.strip('"') for i, v in enumerate(odd)}
+
+
+def test_open_quotes_do_not_reach_other_lines(spark):
+    f = ["x"] * 27
+    f[4], f[9], f[23] = "https://a.test/x", "", ""
+    sound = "\t".join(f)
+    quoted = sound.replace("x\tx\tx\tx", '"a\tb"\tx\tx\tx', 1)
+    opened = sound.replace("x\tx", '"x\tx', 1)
+    last = sound[:-1] + '"x'
+    lines = [opened, quoted, last, last, quoted, opened, opened, sound, quoted, last] * 30
+    df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string").selectExpr("*", "'s' as slot", "'f' as feed").coalesce(1)
+    got = {r["line_id"]: r["reason"] for r in read_feed(df)[1].collect()}
+    assert got == {i: "quote" for i, x in enumerate(lines) if x in (opened, last)}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "line_id long, line string, slot string, feed string")
     sound, rejected = read_feed(df)
