@@ -1,22 +1,21 @@
 """Rows that fail to parse (problem 3): the knowledge-graph feed read with reject tables on the workers.
 
 Each batch of lines becomes scratch files of its task, which DuckDB reads as CSV with a reject table per file: one of the
-lines in which some field begins with a quote, one of the others. A quote that never closes swallows lines after its own
-and blames the wrong one; so the lines of the first file that don't come through are read again, all in one call, each as a
-file of its own. The line-level errors are joined to the raw lines, and the typed values of the lines that parse are checked
-in the same query.
+lines in which some field begins with a quote, one of the others. A quote that never closes would swallow the lines after
+its own and blame the wrong one; so in the first file a guard line behind each line ends such a quote. Lines whose fate is
+told nowhere all the same (two faults in one) are read again, all in one call, each as a file of its own. The line-level
+errors are joined to the raw lines, and the typed values of the lines that parse are checked in the same query.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import shutil
 import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +27,8 @@ WIDTH = 27
 FIELDS = {"url": 4, "locations": 9, "persons": 11, "organisations": 13, "names": 23}
 #: Characters that a line may hold and a CSV line may not.
 HELD = "\n\r\0"
-#: What ends a file of one line: a quote left open ends here and is told, at the end of the file it might not be.
-GUARD = 'x"x'
-QUOTED = re.compile(r'(?:^|\t)"')
+#: A line of the right width that ends a quote left open before it, with an error of the line that opened it.
+GUARD = 'x"x' + "\t" * (WIDTH + 1) + "."
 #: Lines of a batch, and of a call that reads them apart.
 BATCH, APART = 5000, 1000
 
@@ -58,21 +56,24 @@ def _write(path: str, lines: list[str]) -> None:
         out.write("\n".join(lines) + "\n")
 
 
-def _read(connection, folder: str, lines: list[str], at: list[int], apart: bool) -> pa.Table:
+def _read(connection, folder: str, lines: list[str], at: list[int], guarded: bool, apart: bool = False) -> pa.Table:
     """Reason and values of the lines that came through: (n, reason, url, locations, persons, organisations, names).
 
-    The lines are read from one file, or each from a file of its own.
+    The lines are read from one file, or each from a file of its own, with a guard behind each or not.
     """
     numbered = [f"{n}\t{line}\t." for n, line in zip(at, lines)]  # the last field is never empty: an empty one too many is ignored
-    room = max(65_536, 2 * max(len(x.encode()) for x in numbered))
+    sizes = [len(x.encode()) for x in numbered]
+    room = max(65_536, 2 * max(sizes))
+    buffer = max(4 * room, 0 if apart else 2 * (sum(sizes) + len(at) * len(GUARD)))  # a file is one buffer: errors at a buffer's end may be lost
     paths = [f"{folder}/{n}" for n in at] if apart else [f"{folder}/lines"]
-    for path, own in zip(paths, ([x, GUARD] for x in numbered)) if apart else [(paths[0], numbered)]:
+    written = [[x, GUARD] if guarded else [x] for x in numbered]
+    for path, own in zip(paths, written) if apart else [(paths[0], [x for own in written for x in own])]:
         _write(path, own)
     columns = ", ".join(["'n': 'VARCHAR'", *[f"'f{i}': 'VARCHAR'" for i in range(WIDTH)], "'last': 'VARCHAR'"])
     connection.execute("DROP TABLE IF EXISTS reject_errors; DROP TABLE IF EXISTS reject_scans")
     connection.execute(
         f"CREATE OR REPLACE TEMP TABLE parsed AS SELECT * FROM read_csv({paths!r}, delim='\t', quote='\"', escape='\"', header=false, auto_detect=false, "
-        f"strict_mode=true, null_padding=false, new_line='\\n', comment='', store_rejects=true, rejects_limit=0, max_line_size={room}, buffer_size={4 * room}, columns={{{columns}}})"
+        f"strict_mode=true, null_padding=false, new_line='\\n', comment='', store_rejects=true, rejects_limit=0, max_line_size={room}, buffer_size={buffer}, columns={{{columns}}})"
     )
     # a line break inside a record means that its own line left a quote open; of a file of its own only the first line counts
     number, where = "split_part(csv_line, '\t', 1)", "true"
@@ -92,17 +93,14 @@ def _read(connection, folder: str, lines: list[str], at: list[int], apart: bool)
 
 
 def _read_all(connection, folder: str, known: list[str], plain: list[int], quoted: list[int]) -> list[pa.Table]:
-    """_read of all lines; those with quotes that don't parse, or whose fate is not told, are read apart."""
-    parts = [_read(connection, folder, [known[i] for i in plain], plain, False)] if plain else []
-    if quoted:
-        found = _read(connection, folder, [known[i] for i in quoted], quoted, False)
-        sound = pa.compute.invert(pa.compute.fill_null(pa.compute.is_in(found.column("reason"), pa.array(["quote", "width"])), False))
-        found = found.filter(sound)
-        parts.append(found)
-        over = set(found.column("n").to_pylist())
-        left = [i for i in quoted if i not in over]
-        parts += [_read(connection, folder, [known[i] for i in left[k : k + APART]], left[k : k + APART], True) for k in range(0, len(left), APART)]
-    return parts
+    """_read of all lines; those whose fate is not told are read apart."""
+    parts, left = [], []
+    for at, guarded in ((plain, False), (quoted, True)):
+        if at:
+            parts.append(_read(connection, folder, [known[i] for i in at], at, guarded))
+            over = set(parts[-1].column("n").to_pylist())
+            left += [i for i in at if i not in over]
+    return parts + [_read(connection, folder, [known[i] for i in left[k : k + APART]], left[k : k + APART], True, True) for k in range(0, len(left), APART)]
 
 
 def _stand_ins(lines: list[str]) -> dict[str, str]:
@@ -130,7 +128,7 @@ def _parser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stands = _stand_ins(known)
                 for a, b in stands.items():
                     known = [x.replace(a, b) if a in x else x for x in known]
-                kinds = [QUOTED.search(x) is not None for x in known]
+                kinds = [x[:1] == '"' or '\t"' in x for x in known]
                 parts = _read_all(connection, folder, known, [i for i, k in enumerate(kinds) if not k], [i for i, k in enumerate(kinds) if k])
                 found = pa.concat_tables(parts).sort_by("n")
                 columns = [batch.column(i) for i in range(batch.num_columns)]
