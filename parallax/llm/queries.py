@@ -35,6 +35,11 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return history_dedup.deduplicate_batches(_table(spark, folder, "capture"), _table(spark, folder, "publisher"))
 
 
+def p5_last_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest run as a batch of its own against the table of all others."""
+    return history_dedup.last_batch(_table(spark, folder, "capture"), _table(spark, folder, "publisher"))
+
+
 def _scripts(spark: SparkSession, folder: str) -> lookalikes.Scripts:
     clean = [_table(spark, folder, "lang_sample").select("title"), _table(spark, folder, "actor_alias").select("alias")]
     evidence = _table(spark, folder, "evidence")
@@ -100,7 +105,7 @@ def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_quality(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p2_found, p2_segments, p5_found, p6_found, p6_canonical, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p9_balanced, p9_balanced_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_term_counts, p2_found, p2_segments, p5_found, p5_last_run, p6_found, p6_canonical, p7_found, p7_distinct_records, p8_containers, p8_report, p9_mixture, p9_shares, p9_balanced, p9_balanced_shares, p10_found, p10_statistics)}
 
 # Greek final sigma and the dotted capital I are lowered as Unicode has it.
 _TERMS = """
