@@ -14,9 +14,15 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Where it is unset a folder of our own serves in local mode, where driver and executors are one machine; a cluster
+    has to name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         folder = _own.get(app) or _own.setdefault(app, tempfile.mkdtemp(prefix="parallax-"))
     return folder.rstrip("/")

@@ -45,3 +45,19 @@ def polity(domains: DataFrame, tlds: DataFrame, exact: DataFrame, domain: str =
 def coverage(placed: DataFrame) -> DataFrame:
     """(domains, placed, rate)."""
     return placed.agg(F.count("*").alias("domains"), F.count("polity").alias("placed"), F.round(F.count("polity") / F.count("*"), 4).alias("rate"))
+
+
+def bulk_lookup(rows: DataFrame, tlds: DataFrame, renamed: DataFrame, corrected: DataFrame) -> DataFrame:
+    """(domain, polity): the bulk table of domains, without those that their top-level domain decides.
+
+    rows: domain, polity; tlds and renamed: name, polity; corrected: domain, polity. Country names become one form, then the
+    corrections hold, for domains of the table and others.
+    """
+    labels = F.split("domain", r"\.")
+    lower = rows.filter("domain is not null and polity is not null").select(F.lower("domain").alias("domain"), "polity")
+    ends = lower.withColumn("_ends", F.array(F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)), F.element_at(labels, -1)))
+    by = F.broadcast(tlds.agg(F.collect_set(F.lower("name")).alias("_tlds")))  # one row
+    open_ = ends.join(by).filter(~F.arrays_overlap("_ends", "_tlds")).select("domain", "polity")
+    named = open_.join(small(renamed.select(F.col("name").alias("polity"), F.col("polity").alias("_one"))), "polity", "left").select("domain", F.coalesce("_one", "polity").alias("polity"))
+    own = small(corrected.select(F.lower("domain").alias("domain"), "polity"))
+    return named.join(own.select("domain"), "domain", "left_anti").unionByName(corrected.select(F.lower("domain").alias("domain"), "polity")).distinct()

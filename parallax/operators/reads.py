@@ -78,6 +78,12 @@ def map_cell(lat: Column, lon: Column, width: int = 76, height: int = 22, top: f
     return inside(x, width), inside(y, height)
 
 
+def map_position(lat: Column, lon: Column, projection: dict) -> tuple[Column, Column]:
+    """Column and row of a place as fractions of a raster's cells, in the projection that the raster's file states."""
+    left, right, top, bottom = (float(projection[k]) for k in ("lon_left", "lon_right", "lat_top", "lat_bottom"))
+    return (lon - left) / (right - left) * projection["width"], (F.lit(top) - lat) / (top - bottom) * projection["height"]
+
+
 def map_panel(cells: DataFrame, coordinates: DataFrame) -> DataFrame:
     """(story_id, actor, polity, named, evaluable, state, x, y): thin, most or few; x and y are null off the map."""
     state = F.when(F.col("evaluable") < 3, "thin").when(F.col("named") / F.col("evaluable") > 0.5, "most").otherwise("few")
@@ -89,3 +95,9 @@ def slug(c: Column) -> Column:
     from parallax.functions.text import fold
 
     return F.regexp_replace(F.regexp_replace(fold(c), "[^a-z0-9]+", "-"), "^-|-$", "")
+
+
+def display_name(key: Column, label: Column) -> Column:
+    """An actor's label, else its key with the words after hyphens capitalised."""
+    words = F.transform(F.split(key, "-"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30)))
+    return F.coalesce(label, F.array_join(words, " "))

@@ -40,7 +40,26 @@ def spanning_forest(spark, folder):
     return forest_of(spark, folder).select("a", "b", F.round(F.col("score").cast("double"), 4).alias("score"))
 
 
-@query("percolation_threshold", None)
+#: Components at every candidate threshold at once: k counts the steps down from the highest.
+_LEVELS = """
+WITH RECURSIVE v AS (SELECT vec_id AS id, embedding AS v FROM embeddings WHERE len(embedding) = 64), e AS (SELECT x.id AS a, y.id AS b, list_dot_product(x.v, y.v) AS score FROM v x JOIN v y ON x.id <> y.id AND list_dot_product(x.v, y.v) >= 0.20),
+c AS (SELECT k, 0.60::DOUBLE - k * 0.01::DOUBLE AS t FROM range(41) r(k)), step AS (SELECT k, a, b FROM c JOIN e ON e.score >= c.t),
+cc(k, id, low) USING KEY (k, id) AS (SELECT DISTINCT k, a, a FROM step UNION (SELECT DISTINCT ON (u.k, u.id) u.k, u.id, w.low FROM recurring.cc u JOIN step s ON s.k = u.k AND s.a = u.id JOIN cc w ON w.k = s.k AND w.id = s.b WHERE w.low < u.low ORDER BY u.k, u.id, w.low)),
+labels AS MATERIALIZED (SELECT k, id, low FROM cc), sizes AS (SELECT k, low, count(*) AS n FROM labels GROUP BY ALL),
+largest AS (SELECT c.k, coalesce(max(n), 1) AS n FROM c LEFT JOIN sizes s ON s.k = c.k GROUP BY c.k), top AS (SELECT max(k) AS k FROM largest WHERE n <= 0.05 * (SELECT count(*) FROM v))
+"""
+_STAGES = _LEVELS + """
+, themes AS (SELECT low AS theme, n AS size FROM sizes JOIN top USING (k) WHERE n >= 8), member AS (SELECT id, theme, size FROM labels JOIN top USING (k) JOIN themes ON low = theme),
+inside AS (SELECT l.k, l.id, l.low, theme, size FROM labels l JOIN member m ON m.id = l.id WHERE l.k <= (SELECT k FROM top)), per AS (SELECT theme, size, k, low, count(*) AS n FROM inside GROUP BY ALL),
+fit AS (SELECT t.theme, t.size, c.k, coalesce(max(per.n), 1) AS n FROM themes t JOIN c ON c.k <= (SELECT k FROM top) LEFT JOIN per ON per.theme = t.theme AND per.k = c.k GROUP BY ALL),
+second AS (SELECT theme, max(k) AS k FROM fit WHERE n <= 0.35 * size GROUP BY theme),
+split AS (SELECT i.id, i.theme, i.low AS story FROM inside i JOIN second s ON s.theme = i.theme AND s.k = i.k JOIN per p ON p.theme = i.theme AND p.k = i.k AND p.low = i.low WHERE p.n >= 3),
+kinds AS (SELECT theme, CASE WHEN theme IN (SELECT theme FROM split) THEN 'split' WHEN size >= 3 AND size < 3 / 0.35 THEN 'whole' ELSE 'dropped' END AS kind FROM themes),
+stories AS (SELECT * FROM split UNION ALL SELECT id, m.theme, m.theme FROM member m JOIN kinds k ON k.theme = m.theme AND kind = 'whole')
+"""
+
+
+@query("percolation_threshold", _LEVELS + "SELECT round(0.60 - k * 0.01, 4)::DOUBLE AS threshold FROM top")
 def percolation_threshold(spark, folder):
     n = table(spark, folder, "embeddings").count()
     return grouping.threshold(forest_of(spark, folder), n, LOW.theme_share, LOW.edge_floor, LOW.threshold_hi)
@@ -55,11 +74,21 @@ def components_at(spark, folder):
     return grouping.components(forest_of(spark, folder), 0.36)
 
 
-@query("two_stage_stories", None)
+@query("two_stage_stories", _STAGES + "SELECT id, theme, story FROM stories")
 def two_stage_stories(spark, folder):
     return grouping.two_stage(forest_of(spark, folder), table(spark, folder, "embeddings").count(), LOW)
 
 
+@query(
+    "two_stage_report",
+    _STAGES + "SELECT (SELECT count(*) FROM v) AS articles, (SELECT round(0.60 - k * 0.01, 4)::DOUBLE FROM top) AS theme_threshold, (SELECT count(*) FROM themes) AS themes, (SELECT count(*) FROM kinds WHERE kind = 'dropped') AS unsplit_themes, (SELECT count(*) FROM kinds WHERE kind = 'whole') AS indivisible_themes, "
+    "(SELECT count(*) FROM second) AS story_thresholds, (SELECT count(DISTINCT story) FROM stories) AS stories, (SELECT count(*) FROM stories) AS articles_in_stories",
+)
+def two_stage_report(spark, folder):
+    """How many themes and stories a grouping gave, and how many articles reached one."""
+    return grouping.two_stage_report(forest_of(spark, folder), table(spark, folder, "embeddings").count(), LOW)
+
+
 @query("projection", None)
 def projection(spark, folder):
     """All groups of the vectors; nothing where neighbours in the plane agree on the group too seldom."""

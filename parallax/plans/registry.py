@@ -25,7 +25,7 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _load() -> None:
-    from parallax.plans import dealt, extras, graph, measuring, runs, views  # noqa: F401
+    from parallax.plans import dealt, extras, graph, measuring, runs, stories, views  # noqa: F401
 
 
 def queries() -> dict:

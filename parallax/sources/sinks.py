@@ -38,8 +38,17 @@ def story_documents(stories: DataFrame, figures: DataFrame, evidence: DataFrame
     return whole.select("story_id", F.to_json(F.struct(*whole.columns)).alias("document"))
 
 
-def feed_document(entries: DataFrame, run: str, limit: int = 50) -> str:
-    """A feed of the entries of one run, as text; entries are few and already escaped."""
-    rows = entries.orderBy("id").limit(limit).collect()
+def feed_document(entries: DataFrame, run: str) -> str:
+    """A feed of all entries of one run, as text, by the span's division; entries (already escaped) are a run's new stories."""
+    rows = entries.orderBy(F.desc_nulls_last("span_division"), "id").toLocalIterator() if "span_division" in entries.columns else entries.orderBy("id").toLocalIterator()
     body = "".join(f"<entry><id>{r['id']}</id><title>{r['headline']}</title><updated>{run}</updated></entry>" for r in rows)
     return f'<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><updated>{run}</updated>{body}</feed>'
+
+
+def alias_documents(table: DataFrame, missing: DataFrame | None = None) -> DataFrame:
+    """(actor, document): each actor's aliases by language, keys in order, and the languages it has none in, as JSON."""
+    per = table.groupBy("actor", "language").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "alias"))), lambda x: x["alias"]).alias("aliases"))
+    packed = per.groupBy("actor").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("language", "aliases")))).alias("table"))
+    if missing is not None:
+        packed = packed.join(missing.groupBy("actor").agg(F.sort_array(F.collect_set("language")).alias("missing")), "actor", "left")
+    return packed.select("actor", F.to_json(F.struct(*[c for c in packed.columns if c != "actor"])).alias("document"))
