@@ -26,3 +26,9 @@ def p4_found(spark, folder):
 @query("p4_values")
 def p4_values(spark, folder):
     return packed_values.split_values(table(spark, folder, "gkg"))
+
+
+@query("p4_guided")
+def p4_guided(spark, folder):
+    """Values where a comma may belong to one: known whole values decide."""
+    return packed_values.split_values(table(spark, folder, "gkg"), comma_always=False)
