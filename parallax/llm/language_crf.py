@@ -8,6 +8,7 @@ languages and texts joined from two of them.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parallax.functions.lineage import spread
+from parallax.functions.lineage import shared_dir, spread
 from parallax.functions.sampling import bounded_sample
 
-#: Hash buckets of the features; training texts used at most; steps of training; words scored at a stretch.
+#: Hash buckets of the features; training texts used at most; steps of training; words of a long text held at a time.
 BUCKETS = 1 << 15
 TRAINING_TEXTS = 2500
-STEPS = 240
+STEPS = 180
+#: Goes up when the fitting changes: saved fields of another version are not used.
+VERSION = 2
 #: Words of a training sequence.
 TRAINING_STRETCH = 60
 STRETCH = 400
@@ -66,8 +69,8 @@ def features(word: str, lexicon: frozenset[str]) -> np.ndarray:
     for k in (1, 2, 3, 4):
         names.append(f"e{w[-k:]}")
     for k in (2, 3):
-        names += [f"n{marked[i : i + k]}" for i in range(len(marked) - k + 1)][:60]
-    names += [f"c{c}" for c in sorted(set(w)) if ord(c) > 127][:20]
+        names += [f"n{marked[i : i + k]}" for i in range(len(marked) - k + 1)]
+    names += [f"c{c}" for c in set(w) if ord(c) > 127]
     if w in lexicon:
         names.append("x" + w)
     return np.array(sorted({zlib.crc32(n.encode()) % BUCKETS for n in names}), np.int32)
@@ -110,34 +113,62 @@ class LanguageField:
     def emission(self, word: str) -> np.ndarray:
         found = self._known.get(word)
         if found is None:
-            if len(self._known) > 100_000:
-                self._known.clear()
-            found = self.weights[features(word[:200], self.lexicon)].sum(0)
-            self._known[word] = found
+            found = self.weights[features(word, self.lexicon)].sum(0)
+            if len(word) <= 64:  # longer ones hardly come again
+                if len(self._known) > 100_000:
+                    self._known.clear()
+                self._known[word] = found
         return found
 
     def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Words x languages probabilities of each text; long texts are scored a stretch at a time."""
-        parts = [(i, words[s : s + STRETCH]) for i, words in enumerate(texts) for s in range(0, len(words), STRETCH)]
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        done: dict[int, np.ndarray] = {}
-        order = sorted(range(len(parts)), key=lambda p: len(parts[p][1]))
+        """Words x languages probabilities of each text; texts of like length are scored together, long ones alone."""
+        done: dict[int, np.ndarray] = {i: self._long(words) for i, words in enumerate(texts) if len(words) > STRETCH}
+        order = sorted((i for i, words in enumerate(texts) if 0 < len(words) <= STRETCH), key=lambda i: len(texts[i]))
         at = 0
         while at < len(order):
-            t = len(parts[order[at]][1])
-            group = [p for p in order[at : at + 512] if len(parts[p][1]) <= max(t + 4, t * 5 // 4)]
-            longest = len(parts[group[-1]][1])
-            scores = np.zeros((len(group), longest, len(self.codes)), np.float64)
-            for r, p in enumerate(group):
-                scores[r, : len(parts[p][1])] = [self.emission(w) for w in parts[p][1]]
-            lengths = np.array([len(parts[p][1]) for p in group])
+            t = len(texts[order[at]])
+            group = [i for i in order[at : at + 512] if len(texts[i]) <= max(t + 4, t * 5 // 4)]
+            scores = np.zeros((len(group), len(texts[group[-1]]), len(self.codes)), np.float64)
+            for r, i in enumerate(group):
+                scores[r, : len(texts[i])] = [self.emission(w) for w in texts[i]]
+            lengths = np.array([len(texts[i]) for i in group])
             post, _ = forward_backward(scores, lengths, self.moves, self.start)
-            for r, p in enumerate(group):
-                done[p] = post[r, : lengths[r]]
+            for r, i in enumerate(group):
+                done[i] = post[r, : lengths[r]]
             at += len(group)
-        for p, (i, _) in enumerate(parts):
-            out[i].append(done[p])
-        return [np.concatenate(x) if x else np.zeros((0, len(self.codes))) for x in out]
+        return [done.get(i, np.zeros((0, len(self.codes)))) for i in range(len(texts))]
+
+    def _long(self, words: list[str]) -> np.ndarray:
+        """Probabilities of one long text, a stretch at a time; the messages go on across the seams, so nothing depends on them.
+
+        The forward messages at the seams are kept, the stretches are then taken backwards.
+        """
+        parts = [words[s : s + STRETCH] for s in range(0, len(words), STRETCH)]
+        step = np.exp(self.moves.astype(np.float64))
+
+        def ahead(part: list[str], message: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+            scores = np.array([self.emission(w) for w in part], np.float64)
+            emit = np.exp(scores - scores.max(1, keepdims=True)) + 1e-200
+            out = np.empty_like(emit)
+            for i, e in enumerate(emit):
+                x = e * (np.exp(self.start) if message is None else message @ step)
+                message = out[i] = x / x.sum()
+            return out, emit
+
+        seams: list[np.ndarray | None] = [None]
+        for part in parts:
+            seams.append(ahead(part, seams[-1])[0][-1])
+        back = np.ones(len(self.codes)) / len(self.codes)
+        done = []
+        for part, message in zip(reversed(parts), reversed(seams[:-1])):
+            forward, emit = ahead(part, message)
+            post = np.empty_like(forward)
+            for i in range(len(part) - 1, -1, -1):
+                post[i] = forward[i] * back
+                back = (emit[i] * back) @ step.T
+                back /= back.sum()
+            done.append(post / post.sum(1, keepdims=True))
+        return np.concatenate(done[::-1])
 
     def segments(self, text: str, spans: list[tuple[int, int]], post: np.ndarray) -> list[tuple[int, int, str, float]]:
         """(start, end, code, confidence) of the pieces of a plain text; runs too short for a language join a neighbour."""
@@ -168,8 +199,11 @@ class LanguageField:
         return [(spans[a][0], spans[b - 1][1], self.codes[k], float(post[a:b, k].mean())) for a, b, k in runs]
 
 
-def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed: int = 5) -> LanguageField:
-    """Fit the field by adaptive gradients on the likelihood of clean texts and of texts joined from two languages."""
+def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed: int = 5, before: LanguageField | None = None) -> LanguageField:
+    """Fit the field by adaptive gradients on the likelihood of clean texts and of texts joined from two languages.
+
+    A field of the same languages may be given to go on from.
+    """
     labels = sorted(set(codes))
     number = {c: i for i, c in enumerate(labels)}
     rng = np.random.default_rng(seed)
@@ -206,11 +240,13 @@ def train(texts: Sequence[str], codes: Sequence[str], steps: int = STEPS, seed:
         gold[r, : len(words)] = marks
     on = np.arange(t)[None] < lengths[:, None]
     params = [np.zeros((BUCKETS, k), np.float32), np.zeros((k, k), np.float32), np.zeros(k, np.float32)]
+    if before is not None and before.codes == labels:
+        params = [before.weights.copy(), before.moves.copy(), before.start.copy()]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     used = np.unique(bucket)
     compact = np.searchsorted(used, bucket)
     first_of = np.searchsorted(owner, np.arange(len(feats) + 1))
-    weights, squares = np.zeros((len(used), k), np.float32), np.full((len(used), k), 1e-3, np.float32)
+    weights, squares = params[0][used], np.full((len(used), k), 1e-3, np.float32)
     # a step looks at a part of the sequences, each part in turn; what a part needs is laid out once
     parts = []
     for part in np.array_split(rng.permutation(n), max(1, n // 400)):
@@ -255,31 +291,56 @@ def _sample(df: DataFrame, text: str, code: str, limit: int) -> tuple[list[str],
     return [r["t"] for r in rows], [r["c"] for r in rows]
 
 
+def saved_field(spark, texts: Sequence[str], codes: Sequence[str], make) -> LanguageField:
+    """The field that `make` fits to labelled texts, from the shared folder if it was fitted to the same ones before.
+
+    The name under which it is kept is a digest of the texts, their languages and what the fitting depends on, so another
+    session with the same shared folder trains no more.
+    """
+    told = repr((BUCKETS, TRAINING_TEXTS, TRAINING_STRETCH, STEPS, DOUBT, FIRM, VERSION, list(zip(texts, codes))))
+    path = f"{shared_dir(spark)}/parallax-field-{hashlib.sha256(told.encode('utf-8', 'surrogatepass')).hexdigest()[:24]}"
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        r = spark.read.parquet(path).first()
+        k = len(r["codes"])
+        arrays = [np.frombuffer(r[c], np.float32).reshape(shape) for c, shape in (("weights", (BUCKETS, k)), ("moves", (k, k)), ("start", (k,)))]
+        return LanguageField(r["codes"], *arrays, frozenset(r["lexicon"]))
+    field = make()
+    row = (field.codes, *[bytearray(x.astype(np.float32).tobytes()) for x in (field.weights, field.moves, field.start)], sorted(field.lexicon))
+    spark.createDataFrame([row], "codes array<string>, weights binary, moves binary, start binary, lexicon array<string>").coalesce(1).write.mode("overwrite").parquet(path)
+    return field
+
+
 def train_from(samples: DataFrame, labelled: DataFrame | None = None, limit: int = TRAINING_TEXTS) -> LanguageField:
     """Train on clean samples (title, code), then on labelled texts (text, code) too, at most `limit` of each.
 
-    The second training takes those labelled texts only that the first field doesn't firmly find to be in another
-    language than their label's, or in several: labels may be wrong. Texts are chosen by a hash of the text.
+    The second training goes on from the first and takes those labelled texts only that the first field doesn't firmly find
+    to be in another language than their label's, or in several: labels may be wrong. Texts are chosen by a hash of the
+    text. Without such texts there is no second training. The field is kept in the shared folder.
     """
     texts, codes = _sample(samples, "title", "code", limit)
-    if labelled is None:
-        return train(texts, codes)
-    field = train(texts, codes, STEPS // 2)
-    extra, marks = _sample(labelled, "text", "code", limit)
-    clean = [plain(x) for x in extra]
-    spans = [words_of(x) for x in clean]
-    posts = field.posteriors([[x[a:b] for a, b in s] for x, s in zip(clean, spans)])
-    for raw, x, s, p, mark in zip(extra, clean, spans, posts, marks):
-        if mark not in field.codes or not len(p):
-            continue
-        # the label holds unless the first field is sure of another language for some piece
-        k = field.codes.index(mark)
-        top = int(p.sum(0).argmax())
-        other = any(c != mark and sure > FIRM for _, _, c, sure in field.segments(x, s, p))
-        if not other and p[:, k].mean() >= DOUBT * p[:, top].mean():
-            texts.append(raw)
-            codes.append(mark)
-    return train(texts, codes)
+    extra, marks = _sample(labelled, "text", "code", limit) if labelled is not None else ([], [])
+
+    def fit() -> LanguageField:
+        field = train(texts, codes, STEPS // 3 if extra else STEPS)
+        clean = [plain(x) for x in extra]
+        spans = [words_of(x) for x in clean]
+        posts = field.posteriors([[x[a:b] for a, b in s] for x, s in zip(clean, spans)])
+        more, theirs = [], []
+        for raw, x, s, p, mark in zip(extra, clean, spans, posts, marks):
+            if mark not in field.codes or not len(p):
+                continue
+            # the label holds unless the first field is sure of another language for some piece
+            k = field.codes.index(mark)
+            top = int(p.sum(0).argmax())
+            other = any(c != mark and sure > FIRM for _, _, c, sure in field.segments(x, s, p))
+            if not other and p[:, k].mean() >= DOUBT * p[:, top].mean():
+                more.append(raw)
+                theirs.append(mark)
+        return train([*texts, *more], [*codes, *theirs], STEPS * 2 // 3, before=field) if more else field
+
+    return saved_field(samples.sparkSession, [*texts, *extra], [*codes, *marks], fit)
 
 
 def language_segments(df: DataFrame, field: LanguageField, id_col: str = "evidence_id", text: str = "title", keep: Sequence[str] = ()) -> DataFrame:
@@ -287,7 +348,7 @@ def language_segments(df: DataFrame, field: LanguageField, id_col: str = "eviden
 
     segment counts from 1; confidence is the mean probability of the language over the piece's words. Runs of fewer than
     LEAST_WORDS words or LEAST_SIGNS ideographs join a neighbour. Null texts and texts without letters give no row; very
-    long texts are labelled whole, STRETCH words at a time. Repeated rows are each given. An empty table gives an empty
+    long texts are labelled whole. Repeated rows are each given. An empty table gives an empty
     result.
     """
     rows = df.select(F.col(f"`{id_col}`").alias(id_col), *[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text")).filter("_text is not null")

@@ -52,6 +52,39 @@ def test_joined_sentences(field):
     assert good >= 0.95 * n
 
 
+def test_long_texts_are_one_chain(field, monkeypatch):
+    """A text held in stretches has the probabilities of the whole, at the seams too."""
+    held = [t for k, c, t in sentences() if k % 3 == 0 and c != "zh"]
+    words = [w for t in held for w in t.split()][:300]
+    whole = field.posteriors([words])[0]
+    for stretch in (1, 7, 100):
+        monkeypatch.setattr(crf, "STRETCH", stretch)
+        assert np.abs(field.posteriors([words])[0] - whole).max() < 1e-9
+
+
+def test_words_are_read_to_their_ends():
+    """No prefix, no first n-grams and no first characters only: words that differ late have other features."""
+    long = "ab" * 300
+    assert set(crf.features(long + "xyq", frozenset())) != set(crf.features(long + "zwv", frozenset()))
+    many = "".join(chr(0x430 + i % 32) + chr(0x3B1 + i % 24) for i in range(60))
+    assert set(crf.features(many + "é", frozenset())) - set(crf.features(many, frozenset()))
+
+
+def test_fitted_once(spark):
+    rows = [(t, c) for k, c, t in sentences() if k % 3][:120]
+    calls = []
+
+    def make():
+        calls.append(1)
+        return crf.train([t for t, _ in rows], [c for _, c in rows], steps=10)
+
+    one = crf.saved_field(spark, *zip(*rows), make)
+    two = crf.saved_field(spark, *zip(*rows), make)
+    assert len(calls) == 1 and one.codes == two.codes and one.lexicon == two.lexicon and np.array_equal(one.weights, two.weights)
+    crf.saved_field(spark, *zip(*rows[1:]), make)
+    assert len(calls) == 2
+
+
 def test_single_foreign_word_is_no_language(field):
     assert [p[2] for p in pieces(field, "two judges want a longer pause near the bridge «Журнал»")] == ["en"]
     assert [p[2] for p in pieces(field, "two judges want a longer pause near the bridge 「港口」")] == ["en"]
