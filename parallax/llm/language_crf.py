@@ -28,7 +28,7 @@ BUCKETS = 1 << 15
 TRAINING_TEXTS = 2500
 STEPS = 180
 #: Goes up when the fitting changes: saved fields of another version are not used.
-VERSION = 2
+VERSION = 3
 #: Words of a training sequence.
 TRAINING_STRETCH = 60
 STRETCH = 400
@@ -36,8 +36,8 @@ STRETCH = 400
 LEAST_WORDS, LEAST_SIGNS = 4, 6
 #: Mean probability below which a run beside another is no language of its own.
 SURE = 0.7
-#: Share of the likeliest language's probability that a label needs in the first field; probability at which a piece of another one counts.
-DOUBT, FIRM = 0.4, 0.9
+#: Mean probability that a label needs in the first field.
+MOST = 0.6
 WORD = re.compile("[\u3400-\u9fff\uf900-\ufaff]|(?:(?![\u3400-\u9fff\uf900-\ufaff])[^\\W\\d_][\u0300-\u036f\u064b-\u0655]*)+")
 _IGNORED = re.compile("[\u00ad\u034f\u061c\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 
@@ -297,7 +297,7 @@ def saved_field(spark, texts: Sequence[str], codes: Sequence[str], make) -> Lang
     The name under which it is kept is a digest of the texts, their languages and what the fitting depends on, so another
     session with the same shared folder trains no more.
     """
-    told = repr((BUCKETS, TRAINING_TEXTS, TRAINING_STRETCH, STEPS, DOUBT, FIRM, VERSION, list(zip(texts, codes))))
+    told = repr((BUCKETS, TRAINING_TEXTS, TRAINING_STRETCH, STEPS, MOST, VERSION, list(zip(texts, codes))))
     path = f"{shared_dir(spark)}/parallax-field-{hashlib.sha256(told.encode('utf-8', 'surrogatepass')).hexdigest()[:24]}"
     jvm = spark.sparkContext._jvm
     done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
@@ -315,8 +315,8 @@ def saved_field(spark, texts: Sequence[str], codes: Sequence[str], make) -> Lang
 def train_from(samples: DataFrame, labelled: DataFrame | None = None, limit: int = TRAINING_TEXTS) -> LanguageField:
     """Train on clean samples (title, code), then on labelled texts (text, code) too, at most `limit` of each.
 
-    The second training goes on from the first and takes those labelled texts only that the first field doesn't firmly find
-    to be in another language than their label's, or in several: labels may be wrong. Texts are chosen by a hash of the
+    The second training goes on from the first and takes those labelled texts only of which the first field gives their
+    label's language most of the words: labels may be wrong, and texts in several languages. Texts are chosen by a hash of the
     text. Without such texts there is no second training. The field is kept in the shared folder.
     """
     texts, codes = _sample(samples, "title", "code", limit)
@@ -328,14 +328,12 @@ def train_from(samples: DataFrame, labelled: DataFrame | None = None, limit: int
         spans = [words_of(x) for x in clean]
         posts = field.posteriors([[x[a:b] for a, b in s] for x, s in zip(clean, spans)])
         more, theirs = [], []
-        for raw, x, s, p, mark in zip(extra, clean, spans, posts, marks):
+        for raw, p, mark in zip(extra, posts, marks):
             if mark not in field.codes or not len(p):
                 continue
-            # the label holds unless the first field is sure of another language for some piece
-            k = field.codes.index(mark)
-            top = int(p.sum(0).argmax())
-            other = any(c != mark and sure > FIRM for _, _, c, sure in field.segments(x, s, p))
-            if not other and p[:, k].mean() >= DOUBT * p[:, top].mean():
+            # the label holds if the first field gives it most of the words: less than that is a text of two languages,
+            # while a part that the clean samples know from another language only is to be learnt
+            if p[:, field.codes.index(mark)].mean() >= MOST:
                 more.append(raw)
                 theirs.append(mark)
         return train([*texts, *more], [*codes, *theirs], STEPS * 2 // 3, before=field) if more else field
