@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Letters that look alike, Latin first, then Cyrillic, then Greek.
+#: Letters that look alike, Latin first, then Cyrillic, Greek and Armenian.
 ALIKE = (
-    "aаα bЬ cсϲ dԁ eеε gɡ hһ iіι jјϳ kкκ lӏ mм nпη oоο pрρ qԛ rг sѕ tтτ uυ vνѵ wԝω xхχ yуγ "
+    "aаα bЬ cсϲ dԁ eеε gɡց hһհ iіι jјϳ kкκ lӏ mм nпηո oоοօ pрρ qԛզ rг sѕ tтτ uυս vνѵ wԝω xхχ yуγ "
     "AАΑ BВΒ CС EЕΕ HНΗ IІΙ JЈ KКΚ MМΜ NΝ OОΟ PРΡ QԚ SЅ TТΤ VѴ WԜ XХΧ YУΥ ZΖ "
     "áά éέ íί óό úύ ëё ïї ÁΆ ÉΈ ÍΊ ÓΌ ËЁ ÏЇ"
 )
+#: Letters of scripts other than Latin that words of today hardly have; they are replaced, never put in.
+RARE = "ӏԛԝԁѵɡϲϳ"
+SCRIPTS = "lcga"
 #: Costs of a replaced letter, of a change of script between words, and of a word that isn't known.
 SWAP, CHANGE, UNKNOWN = 2.0, 3.0, 4.0
 IGNORABLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff]")
@@ -33,8 +36,10 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def script_of(c: str) -> str:
-    """l, c or g for the scripts that look alike, else empty."""
+    """l, c, g or a for the scripts that look alike, else empty."""
     o = ord(c)
+    if 0x530 <= o < 0x590:
+        return "a" if c.isalpha() else ""
     if o < 0x250:
         return "l" if c.isalpha() else ""
     if 0x370 <= o < 0x400 or 0x1F00 <= o < 0x2000:
@@ -50,7 +55,7 @@ def _lattice() -> dict[tuple[str, str], str]:
     for group in ALIKE.split():
         for a in group:
             for b in group:
-                if a != b and script_of(a) != script_of(b):
+                if a != b and b not in RARE and script_of(a) != script_of(b):
                     out[a, script_of(b)] = out.get((a, script_of(b)), "") + b
     return out
 
@@ -62,8 +67,8 @@ def _unsure() -> dict[str, frozenset[str]]:
     """Pairs of scripts to the letters of the first, in lower case, that a word may write with letters of the second."""
     out: dict[str, set[str]] = {}
     for c in {a for a, _ in LATTICE}:
-        for t in "lcg":
-            if t != script_of(c) and ((c, t) in LATTICE or any((d, t) in LATTICE for u in "lcg" for d in LATTICE.get((c, u), ""))):
+        for t in SCRIPTS:
+            if t != script_of(c) and ((c, t) in LATTICE or any((d, t) in LATTICE for u in SCRIPTS for d in LATTICE.get((c, u), ""))):
                 out.setdefault(script_of(c) + t, set()).add(c.lower())
     return {k: frozenset(v) for k, v in out.items()}
 
@@ -172,14 +177,14 @@ class Scripts:
         words = list(WORD.finditer(text))
         scripts = {script_of(c) for w in words for c in w[0]} - {""}
         if len(scripts) < 2:
-            return text
+            return self._disguised(text, words, scripts)
         # over the words: the state is the script of the last word that is in one of these scripts
         cost: dict[str, float] = {"": 0.0}
         steps: list[dict[str, tuple[str, str]]] = []  # state to the state before and the word's form
         for m in words:
             w = m[0]
             own = {script_of(c) for c in w} - {""}
-            spelt = {s: f for s in "lcg" if s in scripts and (f := self.spell(w, s))} if own else {}
+            spelt = {s: f for s in SCRIPTS if s in scripts and (f := self.spell(w, s))} if own else {}
             if not spelt:  # another script, or no likeness: as it is
                 steps.append({s: (s, w) for s in cost})
                 continue
@@ -205,6 +210,27 @@ class Scripts:
         return unicodedata.normalize("NFC", "".join([*out, text[at:]]))
 
 
+    def _disguised(self, text: str, words: list[re.Match], scripts: set[str]) -> str:
+        """A text of one script in the letters of another, if that is what all of its words are.
+
+        No word may be known as it stands, or have a letter that looks like none of the other script; in the other script
+        each has to be a known word.
+        """
+        low = {w[0].lower() for w in words}
+        if not scripts or any(w in self.known or not unsure(w) for w in low):
+            return text
+        for t in SCRIPTS:
+            if t not in scripts:
+                forms = [f[1] if (f := self.spell(w[0], t)) else "" for w in words]
+                if all(f.lower() in self.known for f in forms):
+                    out, at = [], 0
+                    for m, form in zip(words, forms):
+                        out += [text[at : m.start()], form]
+                        at = m.end()
+                    return unicodedata.normalize("NFC", "".join([*out, text[at:]]))
+        return text
+
+
 def word_counts(texts: DataFrame, of: Callable[[str], list[str]] = words_of) -> DataFrame:
     """(word, n): how often each word that `of` gives of a text occurs in all rows of the first column."""
 

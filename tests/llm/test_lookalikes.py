@@ -34,6 +34,17 @@ def test_disguises(scripts, text, form):
     assert scripts.canonical(got) == got
 
 
+def test_words_wholly_in_another_script():
+    """Text in one script is searched too: what is known in no letters but another script's is written in those."""
+    own = Scripts([*CLEAN, "the scope of space", "рост"])
+    for disguise in ("ѕсоре", "ѕсоре оf"[:5], "Ѕсоре", "ѕрасе ѕсоре"):
+        assert own.canonical(disguise).isascii()
+    assert own.canonical("рост") == "рост" and own.canonical("рот") == "рот"  # known, and unknown anywhere
+    assert own.canonical("the ѕсоре of ѕрасе") == "the scope of space"
+    assert own.canonical("the раураl of workers") == "the paypal of workers" and own.canonical("раураl") == "paypal"
+    assert own.canonical("wօrkers pay") == "workers pay"  # an Armenian letter
+
+
 def test_random_swaps_come_back(scripts):
     rng = random.Random(5)
     texts = [t for t in CLEAN if len(t) > 12]
