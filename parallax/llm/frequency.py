@@ -31,17 +31,16 @@ def term_lists(df: DataFrame, text_fields: Sequence[str], value_fields: Sequence
 
 
 def heavy_terms(lists: DataFrame, fields: Sequence[str], slots: int = HEAVY_SLOTS) -> dict[str, list[str]]:
-    """The likely most frequent terms of each field, from one sketch over all rows.
+    """The likely most frequent terms of each field, from a sketch per field over all rows, in one pass.
 
-    The sketch only decides which terms get a slot; their counts are exact. Its size is fixed, as is that of the answer:
+    The sketches only decide which terms get a slot; their counts are exact. Their size is fixed, as is that of the answer:
     `slots` terms of HEAVY_LENGTH characters a field.
     """
-    out = {}
-    for c in fields:
-        term = lists.select(F.explode(c).alias("term")).filter(F.length("term") <= HEAVY_LENGTH)
-        top = term.select(F.expr(f"approx_top_k(term, {slots}, {SKETCH_ITEMS})").alias("top")).first()["top"] or []
-        out[c] = sorted(x["item"] for x in top if x["count"] > 1)
-    return out
+    named = [F.transform(F.coalesce(F.col(f"`{c}`"), F.array().cast("array<string>")), lambda x, c=c: F.struct(F.lit(c).alias("field"), x.alias("term"))) for c in fields]
+    terms = lists.select(F.explode(F.concat(*named)).alias("x")).select("x.*").filter(F.length("term") <= HEAVY_LENGTH)
+    rows = terms.groupBy("field").agg(F.expr(f"approx_top_k(term, {slots}, {SKETCH_ITEMS})").alias("top")).collect()  # one row a field
+    found = {r["field"]: sorted(x["item"] for x in r["top"] or [] if x["count"] > 1) for r in rows}
+    return {c: found.get(c, []) for c in fields}
 
 
 def _counter(fields: Sequence[str], heavy: dict[str, list[str]]):
@@ -104,7 +103,7 @@ def term_frequencies(
     fields = [*text_fields, *value_fields]
     lists = term_lists(df, text_fields, value_fields)
     total = df.count()
-    heavy = heavy_terms(lists, text_fields, slots) | heavy_terms(lists, value_fields, slots)
+    heavy = heavy_terms(lists, fields, slots)
     counted = lists.mapInArrow(_counter(fields, heavy), "field string, term string, occurrences bigint, n_rows bigint, heavy boolean")
     sums = counted.groupBy("field", "term", "heavy").agg(F.sum("occurrences").alias("occurrences"), F.sum("n_rows").alias("n_rows"))
     mark = F.when(F.col("n_rows") < rare_below, "rare").when(F.col("n_rows") > common_above * total, "common")
