@@ -35,6 +35,7 @@ IGNORABLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f
 WORD = re.compile(r"[^\W\d_]+")
 
 
+@lru_cache(1 << 17)
 def script_of(c: str) -> str:
     """l, c, g or a for the scripts that look alike, else empty."""
     o = ord(c)
@@ -91,7 +92,18 @@ def compatible(text: str) -> str:
 
 def words_of(text: str) -> list[str]:
     """The words that are in one of the look-alike scripts."""
-    return [w for w in WORD.findall(compatible(text)) if len({script_of(c) for c in w}) == 1 and script_of(w[0])]
+    return _words_of(compatible(text))[0]
+
+
+def _words_of(text: str) -> tuple[list[str], bool]:
+    """The words of a compatible text that are in one look-alike script, and whether all its letters are in one and the same."""
+    words = WORD.findall(text)
+    if text.isascii():
+        return words, bool(words)
+    scripts = {script_of(c) for c in set(text) if c.isalpha()}
+    if len(scripts) == 1 and "" not in scripts:
+        return words, True
+    return [w for w in words if len({script_of(c) for c in set(w)}) == 1 and script_of(w[0])], len(scripts - {""}) == 1
 
 
 def evidence_of(text: str) -> list[str]:
@@ -100,9 +112,9 @@ def evidence_of(text: str) -> list[str]:
     A word that may be a disguise counts where the whole text is in its script and another word is surely in it: else a
     disguise that a large corpus repeats would become a known word.
     """
-    words = words_of(text)
+    words, one = _words_of(compatible(text))
     sure = [w for w in words if not unsure(w.lower())]
-    return words if sure and len({script_of(c) for c in compatible(text)} - {""}) == 1 else sure
+    return words if sure and one else sure
 
 
 def grams_of(word: str) -> Iterator[str]:
@@ -175,7 +187,7 @@ class Scripts:
         if text.isascii():
             return text
         words = list(WORD.finditer(text))
-        scripts = {script_of(c) for w in words for c in w[0]} - {""}
+        scripts = {script_of(c) for c in set(text) if c.isalpha()} - {""}
         if len(scripts) < 2:
             return self._disguised(text, words, scripts)
         # over the words: the state is the script of the last word that is in one of these scripts
@@ -183,7 +195,7 @@ class Scripts:
         steps: list[dict[str, tuple[str, str]]] = []  # state to the state before and the word's form
         for m in words:
             w = m[0]
-            own = {script_of(c) for c in w} - {""}
+            own = {script_of(c) for c in set(w)} - {""}
             spelt = {s: f for s in SCRIPTS if s in scripts and (f := self.spell(w, s))} if own else {}
             if not spelt:  # another script, or no likeness: as it is
                 steps.append({s: (s, w) for s in cost})
